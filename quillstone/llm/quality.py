@@ -150,7 +150,9 @@ def thresholds(df: DataFrame, lang: str = "lang", source: str = "source", text:
 def judge(df: DataFrame, limits: DataFrame | None = None, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """Adds the measures, base_failed and kept."""
     limits = thresholds(df, lang, source, text) if limits is None else limits
-    out = measures(df, text)
+    # a filter on the verdict must not be pushed below the measures, where it would repeat all their expressions; it
+    # can't pass a column that isn't deterministic
+    out = measures(df, text).withColumn("_fence", F.monotonically_increasing_id())
     keys = [F.col(lang).eqNullSafe(F.col("t_lang")), F.col(source).eqNullSafe(F.col("t_source"))]
     names = [c for c in limits.columns if c not in ("lang", "source")]
     limits = limits.withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
@@ -166,8 +168,9 @@ def judge(df: DataFrame, limits: DataFrame | None = None, lang: str = "lang", so
         & (rate["word_length"] >= F.col("least_word_length"))
         & (rate["word_length"] <= F.col("most_word_length"))
         & (rate["dup_line_rate"] <= F.col("most_dup_line_rate"))
+        & (F.col("_fence") >= 0)
     )
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("t_lang", "t_source", *names)
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("t_lang", "t_source", "_fence", *names)
 
 
 def keep_good(df: DataFrame) -> DataFrame:
