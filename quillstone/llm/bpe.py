@@ -16,12 +16,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,9 +30,14 @@ from .common import slices, with_columns
 from .pairs import NONE, PairTable
 
 #: Distinct new words that a block replays together, and words that a task remembers.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 150_000
 MEMORY_WORDS = 400_000
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
+
+MARKS = frozenset(".,;:!?")
+#: A space between or after other white space. Elsewhere each space begins a pre-token, whatever surrounds it, so a text
+#: may be cut before its spaces.
+ODD = r"[\s\x1c-\x1f\x{85}\p{Z}] (?:[\s\x1c-\x1f\x{85}\p{Z}]|\z)"
 
 
 class ReplayEncoder:
@@ -43,7 +48,8 @@ class ReplayEncoder:
         self.rank_of = {base64.b64decode(a): int(b) for a, b in pairs}
         self.token_of = {b: a for a, b in self.rank_of.items()}
         self.pattern = regex.compile(pattern)
-        self.split_odd = re.compile(r"\s (?:\s|\Z)").search
+        #: Whether the pattern treats a space and letters as one pre-token, and a mark behind them as another.
+        self.usual = [self.pattern.findall(x) for x in (" ab", "ab", "é", " aB.", "ß,")] == [[" ab"], ["ab"], ["é"], [" aB", "."], ["ß", ","]]
         self.byte_rank = np.array([self.rank_of.get(bytes([b]), -1) for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in self.rank_of.items():
@@ -127,18 +133,16 @@ class ReplayEncoder:
         return symbol[alive], counts
 
     def _chunks(self, text: str) -> list[str]:
-        """Pieces of a text at whose borders no pre-token ever crosses: a single space begins a new one."""
-        if not text:
-            return []
-        if self.split_odd(text):
-            return self.pattern.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + piece for piece in rest]]
+        """The pre-tokens of a text of which single spaces don't tell where pre-tokens begin."""
+        return self.pattern.findall(text)
 
     def _learn(self, chunks: list[str]) -> None:
         """Replays the merges over the distinct words of new chunks and remembers the chunks' ids."""
         find = self.pattern.findall
-        parts = [find(c) for c in chunks]
+        if self.usual:  # letters, maybe with one mark behind: most pieces, and no work for the pattern
+            parts = [(c,) if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else (c[:-1], c[-1]) if c[-1:] in MARKS and c[1:-1].isalpha() and (c[0] == " " or c[0].isalpha()) else find(c) for c in chunks]
+        else:
+            parts = [find(c) for c in chunks]
         words = list(set(chain.from_iterable(parts)))
         place = dict(zip(words, range(len(words)), strict=True))
         coded = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -166,26 +170,55 @@ class ReplayEncoder:
         self.memory: dict[str, int] = {}
         self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def encode_block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts end to end, and the border of each (one more than there are texts)."""
-        chunks = [self._chunks(text) for text in texts]
-        fresh = set(chain.from_iterable(chunks)).difference(self.memory)
-        if len(self.memory) + len(fresh) > MEMORY_WORDS and self.memory:
+    def learn(self, chunks: set[str]) -> None:
+        """Makes sure that all these chunks are in the memory, which starts anew when it would grow too large."""
+        fresh = chunks.difference(self.memory)
+        if len(self.memory) + len(fresh) > MEMORY_WORDS and self.memory and fresh:
             self._forget()
-            fresh = set(chain.from_iterable(chunks))
+            fresh = chunks
         fresh = list(fresh)
         for at in range(0, len(fresh), BLOCK_WORDS):
             self._learn(fresh[at : at + BLOCK_WORDS])
-        n_chunks = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        at = np.fromiter(map(self.memory.__getitem__, chain.from_iterable(chunks)), np.int64, int(n_chunks.sum()))
-        length = self.length[at]
-        ends = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(n_chunks)])]
-        return _gather(self.flat, self.start[at], length), ends
+
+    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Encodes a column of texts: (first row, rows, ids end to end, borders of the rows) for runs of rows.
+
+        Arrow splits the texts at spaces and finds the distinct pieces; Python only sees those.
+        """
+        texts = pc.fill_null(column, "")
+        odd = pc.match_substring_regex(texts, ODD)
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        borders = lists.offsets.to_numpy().astype(np.int64)
+        pieces = lists.values.dictionary_encode()
+        place = pieces.indices.to_numpy()
+        spaced = [" " + x for x in pieces.dictionary.to_pylist()]
+        first = lists.values.take(pa.array(borders[:-1])).to_pylist()  # of each row; it has no space before it
+        other = {i: self._chunks(texts[i].as_py()) for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()}
+        self.learn(set(chain(spaced, first, *other.values())))
+        known = self.memory.__getitem__
+        slot = np.fromiter(map(known, spaced), np.int64, len(spaced))[place]
+        slot[borders[:-1]] = np.fromiter(map(known, first), np.int64, len(first))
+        if other:
+            rows = np.split(slot, borders[1:-1])
+            for i, own in other.items():
+                rows[i] = np.fromiter(map(known, own), np.int64, len(own))
+            slot = np.concatenate(rows)
+            borders = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        n, at = len(first), 0
+        while at < n:  # runs of about a million pieces
+            to = max(at + 1, int(np.searchsorted(borders, borders[at] + 1_000_000, side="right")) - 1)
+            own = slot[borders[at] : borders[to]]
+            length = self.length[own]
+            ends = np.concatenate([[0], np.cumsum(length)])[borders[at : to + 1] - borders[at]]
+            yield at, to - at, _gather(self.flat, self.start[own], length), ends
+            at = to
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        ids, ends = self.encode_block(texts)
-        return np.split(ids, ends[1:-1]) if texts else []
+        out: list[np.ndarray] = []
+        for _, _, ids, ends in self.encode_column(pa.array(texts, pa.string())):
+            out += np.split(ids, ends[1:-1])
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token_of.__getitem__, ids))
@@ -219,18 +252,43 @@ def _schema(df: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name not in names] + list(fields))
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: ReplayEncoder, text: str, ids: str) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, text, BLOCK_BYTES):
+        for at, n, coded, ends in encoder.encode_column(batch.column(text)):
+            yield with_columns(batch.slice(at, n), [ids], [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(coded, pa.int32()))])
+
+
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, empty for null."""
+    ends = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False)
+    for a, b, there in zip(ends[:-1].tolist(), ends[1:].tolist(), column.is_valid().to_pylist(), strict=True):
+        yield values[a:b].tolist() if there else []
+
+
+def _digested(batches: Iterator[pa.RecordBatch], encoder: ReplayEncoder, ids: str) -> Iterator[pa.RecordBatch]:
+    names = {i: str(i) for i in encoder.token_of}
+    for batch in slices(batches, ids, BLOCK_BYTES):
+        counts, coded, decoded = [], [], []
+        for own in _lists(batch.column(ids)):
+            counts.append(len(own))
+            coded.append(hashlib.sha256(",".join(map(names.__getitem__, own)).encode()).hexdigest())
+            decoded.append(hashlib.sha256(encoder.decode(own)).hexdigest())
+        yield with_columns(batch, ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())])
+
+
+_IDS = T.ArrayType(T.IntegerType(), False)
+_DIGESTS = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+
+
 def encode(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds the column ids (array of int) with the tokens of the whole text."""
     vocabulary = _vocabulary(df, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(vocabulary.value, pattern)
-        for batch in slices(batches, text, BLOCK_BYTES):
-            coded, ends = encoder.encode_block([x or "" for x in batch.column(text).to_pylist()])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(coded, pa.int32()))
-            yield with_columns(batch, [ids], [column])
+        yield from _encoded(batches, encoder_for(vocabulary.value, pattern), text, ids)
 
-    return df.mapInArrow(run, _schema(df, T.StructField(ids, T.ArrayType(T.IntegerType(), False))))
+    return df.mapInArrow(run, _schema(df, T.StructField(ids, _IDS)))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
@@ -240,23 +298,26 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", data: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(vocabulary.value, ".")
         for batch in slices(batches, ids, BLOCK_BYTES):
-            yield with_columns(batch, [data], [pa.array([encoder.decode(x or []) for x in batch.column(ids).to_pylist()], pa.binary())])
+            yield with_columns(batch, [data], [pa.array(map(encoder.decode, _lists(batch.column(ids))), pa.binary())])
 
     return df.mapInArrow(run, _schema(df, T.StructField(data, T.BinaryType())))
 
 
-def digests(df: DataFrame, ids: str = "ids", data: str = "decoded") -> DataFrame:
-    """Adds n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256; drops ids and data."""
+def round_trip(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text", ids: str | None = None) -> DataFrame:
+    """Encodes the text and decodes the ids in one pass, and drops the text.
+
+    Adds n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the decoded bytes) and, if
+    named, the ids.
+    """
+    vocabulary = _vocabulary(df, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, ids, BLOCK_BYTES):
-            own, raw = batch.column(ids).to_pylist(), batch.column(data).to_pylist()
-            kept = batch.select([n for n in batch.schema.names if n not in (ids, data)])
-            n_tokens = pa.array([len(x) for x in own], pa.int64())
-            first = pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in own])
-            second = pa.array([hashlib.sha256(x).hexdigest() for x in raw])
-            yield with_columns(kept, ["n_tokens", "ids_sha256", "decoded_sha256"], [n_tokens, first, second])
-
-    kept = df.drop(ids, data)
-    added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return df.mapInArrow(run, _schema(kept, *added))
+        encoder = encoder_for(vocabulary.value, pattern)
+        for batch in _digested(_encoded(batches, encoder, text, ids or "_ids"), encoder, ids or "_ids"):
+            gone = (text,) if ids else (text, "_ids")
+            yield batch.select([n for n in batch.schema.names if n not in gone])
+
+    kept = T.StructType([f for f in df.schema.fields if f.name != text])
+    more = [T.StructField(ids, _IDS)] if ids else []
+    names = {f.name for f in more + _DIGESTS}
+    return df.mapInArrow(run, T.StructType([f for f in kept.fields if f.name not in names] + more + _DIGESTS))

@@ -61,8 +61,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(coded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
