@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, html_text, langid, media, mixing, pii, quality, secret_scan, simhash, tokencount
 from .common import read_table
+from .sql import SQL  # noqa: F401
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +45,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.assign(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def _of_kind(spans: str, kind: int) -> F.Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def _per_kind(kinds: tuple[str, ...], spans: str) -> dict:
-    return {f"n_{k}": F.size(F.filter(spans, lambda s, i=i: s["kind"] == i)).cast("long") for i, k in enumerate(kinds)}
+    return {f"n_{k}": _of_kind(spans, i) for i, k in enumerate(kinds)}
 
 
 def _joined(kinds: tuple[str, ...], spans) -> F.Column:
@@ -72,4 +77,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash, op2_quality, op3_langid, op4_html, op5_tokens, op6_media, op7_mixing, op8_pii, op9_bpe, op10_secrets)}
 
-SQL: dict[str, str] = {}
+
