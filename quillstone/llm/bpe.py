@@ -249,7 +249,7 @@ def _vocabulary(df: DataFrame, path: str):
 
 def _schema(df: DataFrame, *fields: T.StructField) -> T.StructType:
     names = {f.name for f in fields}
-    return T.StructType([f for f in df.schema.fields if f.name not in names] + list(fields))
+    return T.StructType([f for f in df.schema.fields if f.name.lower() not in {n.lower() for n in names}] + list(fields))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], encoder: ReplayEncoder, text: str, ids: str) -> Iterator[pa.RecordBatch]:
@@ -320,4 +320,4 @@ def round_trip(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "t
     kept = T.StructType([f for f in df.schema.fields if f.name != text])
     more = [T.StructField(ids, _IDS)] if ids else []
     names = {f.name for f in more + _DIGESTS}
-    return df.mapInArrow(run, T.StructType([f for f in kept.fields if f.name not in names] + more + _DIGESTS))
+    return df.mapInArrow(run, T.StructType([f for f in kept.fields if f.name.lower() not in {n.lower() for n in names}] + more + _DIGESTS))

@@ -67,8 +67,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(at, step)
 
 
+def packed(df: DataFrame, **columns: str) -> DataFrame:
+    """The columns asked for under names of our own, beside the whole row as the struct _row: no name can clash."""
+    return df.select(F.struct("*").alias("_row"), *[F.col(c).alias(n) for n, c in columns.items()])
+
+
+def unpacked(df: DataFrame, names: list[str], **added: Column) -> DataFrame:
+    """The columns of the packed row, and columns that are added or replace one of the same name."""
+    fresh = {n.lower() for n in added}
+    return df.select(*[F.col("_row").getField(n).alias(n) for n in names if n.lower() not in fresh], *[c.alias(n) for n, c in added.items()])
+
+
 def with_columns(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
-    """The batch with columns added, or replaced where the name is there already."""
-    keep = [(n, batch.column(i)) for i, n in enumerate(batch.schema.names) if n not in names]
+    """The batch with columns added, or replaced where the name is there already (in any case of its letters)."""
+    fresh = {n.lower() for n in names}
+    keep = [(n, batch.column(i)) for i, n in enumerate(batch.schema.names) if n.lower() not in fresh]
     keep += list(zip(names, columns, strict=True))
     return pa.RecordBatch.from_arrays([c for _, c in keep], names=[n for n, _ in keep])

@@ -384,4 +384,4 @@ def extract(df: DataFrame, page: str = "html", out: str = "text", pages: int = T
             texts = [extract_page(x, model.value) for x in batch.column(page).to_pylist()]
             yield with_columns(batch, [out, "n_chars"], [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())])
 
-    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name not in (out, "n_chars")] + [T.StructField(out, T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name.lower() not in (out.lower(), "n_chars")] + [T.StructField(out, T.StringType()), T.StructField("n_chars", T.LongType())]))

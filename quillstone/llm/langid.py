@@ -105,9 +105,9 @@ def identify(pages: DataFrame, docs: DataFrame, most: int = TRAIN_DOCS) -> DataF
     folder = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:]+://[^/]+/([A-Za-z]{2})(?:[/?#]|$)", 1))
     rows = pages.select("page_id", "url", "html", declared.alias("declared"), host.alias("host"), F.concat_ws("/", F.regexp_extract(host, r"([^.]*)$", 1), folder).alias("suffix"))
     rows = rows.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
-    seen = text_evidence(rows, langs, model)
     if not n:
-        return seen.select("page_id", "url", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"))
+        return rows.select("page_id", "url", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("confidence"))
+    seen = text_evidence(rows, langs, model)
     seen = seen.withColumn("millionths", F.transform(_softmax(F.col("ll")), lambda p: F.round(p * 1_000_000).cast("long")))
     seen = written(seen, "language-evidence")
     corpus = _sums(seen, [], n, "c")

@@ -5,8 +5,8 @@ target never passes 3 times its source's size, and what that cuts off is shared
 
 Each source's documents fall by hash into up to 1,024 blocks. A pass draws a source's blocks in a permuted order of
 its own; a source is drawn for as many full passes as its target holds, then for part of one. The block at which the
-target is reached is opened in the same way: up to 1,024 sub-blocks, then the documents of the last sub-block, taken
-in permuted order as long as they fit, and one more if it comes closer. So the words taken miss a target by at most half
+target is reached is opened in the same way: up to 1,024 sub-blocks, then the documents of the last sub-block, the
+longest first, as long as they fit, and one more if it comes closer. So the words taken miss a target by at most half
 the smallest document left there.
 
 The numbers of draws (quotas) of all sources are split exactly among the output shards: a binary tree over the shards
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import words_of, written
+from .common import packed, words_of, written
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -173,7 +173,7 @@ class MixPlan:
         last = self.subs.filter("not whole").select(F.col("source").alias("l_source"), F.col("sub").alias("l_sub"), "left")
         docs = here.join(_small(last), _same("source", "l_source") & (F.col("sub") == F.col("l_sub")))
         units = docs.groupBy("source", "_hash", "doc_id", "left").agg(F.sum("size").alias("size"))
-        gathered = units.groupBy("source", "left").agg(F.array_sort(F.collect_list(F.struct("_hash", "doc_id", "size"))).alias("docs"))  # one sub-block
+        gathered = units.groupBy("source", "left").agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("order"), "_hash", "doc_id", "size"))).alias("docs"))  # one sub-block
         unit = "struct<size:bigint,_hash:bigint,doc_id:bigint>"
         start = F.struct(F.col("left").cast("long").alias("left"), F.array().cast(f"array<{unit}>").alias("out"), F.lit(None).cast(unit).alias("spare"))
 
@@ -219,8 +219,9 @@ def assign(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
 def mix(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed documents: each row as often as it is drawn, dealt out by shard and shuffled within each."""
     sized = written(with_sizes(df, seed).select("doc_id", "source", "size", "_hash"), "sized")
-    drawn = MixPlan(sized, shards, seed).apply(with_sizes(df, seed))
-    rows = drawn.select(*df.columns, "_hash", F.posexplode("shards").alias("_turn", "_shard"))
+    work = with_sizes(packed(df, doc_id="doc_id", source="source", text="text"), seed).drop("text")
+    drawn = MixPlan(sized, shards, seed).apply(work)
+    rows = drawn.select("_row", "_hash", F.posexplode("shards").alias("_turn", "_shard"))
     salt = F.pmod(F.xxhash64("_hash", "_turn"), F.lit(8))  # a shard may be larger than a task
     local = F.xxhash64(F.lit(seed), "_shard", "_hash", "_turn")
-    return rows.withColumn("_local", local).repartition("_shard", salt).sortWithinPartitions("_shard", "_local").select(df.columns)
+    return rows.withColumn("_local", local).repartition("_shard", salt).sortWithinPartitions("_shard", "_local").select("_row.*")

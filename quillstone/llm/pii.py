@@ -158,7 +158,7 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
             found = [[{"start": a, "kind": k, "end": e} for a, k, e in find(x or "")] for x in batch.column(text).to_pylist()]
             yield with_columns(batch, ["spans"], [pa.array(found, _ARROW_SPANS)])
 
-    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name != "spans"] + [T.StructField("spans", SPANS)]))
+    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name.lower() != "spans"] + [T.StructField("spans", SPANS)]))
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:

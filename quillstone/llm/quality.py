@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of, written
+from .common import packed, unpacked, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -152,15 +152,15 @@ def judge(df: DataFrame, limits: DataFrame | None = None, lang: str = "lang", so
     limits = thresholds(df, lang, source, text) if limits is None else limits
     # a filter on the verdict must not be pushed below the measures, where it would repeat all their expressions; it
     # can't pass a column that isn't deterministic
-    out = measures(df, text).withColumn("_fence", F.monotonically_increasing_id())
-    keys = [F.col(lang).eqNullSafe(F.col("t_lang")), F.col(source).eqNullSafe(F.col("t_source"))]
-    names = [c for c in limits.columns if c not in ("lang", "source")]
+    work = packed(df, lang=lang, source=source, text=text)
+    out = measures(work).withColumn("_fence", F.monotonically_increasing_id())
+    keys = [F.col("lang").eqNullSafe(F.col("t_lang")), F.col("source").eqNullSafe(F.col("t_source"))]
     limits = limits.withColumnsRenamed({"lang": "t_lang", "source": "t_source"})
     if limits.count() <= BROADCAST_ROWS:
         joined = out.join(F.broadcast(limits), keys[0] & keys[1], "left")
     else:
         salted = limits.withColumn("t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salt = F.pmod(F.xxhash64(F.col(text)), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")
         joined = out.join(salted, keys[0] & keys[1] & (salt == F.col("t_salt")), "left").drop("t_salt")
     rate = _rates()
     fine = (
@@ -170,9 +170,11 @@ def judge(df: DataFrame, limits: DataFrame | None = None, lang: str = "lang", so
         & (rate["dup_line_rate"] <= F.col("most_dup_line_rate"))
         & (F.col("_fence") >= 0)
     )
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(fine, F.lit(False))).drop("t_lang", "t_source", "_fence", *names)
+    added = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed")}
+    return unpacked(joined, df.columns, **added, kept=~F.col("base_failed") & F.coalesce(fine, F.lit(False)))
 
 
 def keep_good(df: DataFrame) -> DataFrame:
     """The documents that the rules keep, with the columns that they came with."""
-    return judge(df).filter("kept").select(df.columns)
+    judged = judge(df.select(F.struct("*").alias("document"), "lang", "source", "text"))
+    return judged.filter("kept").select("document.*")

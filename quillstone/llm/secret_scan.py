@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed, unpacked
+
 # Fixed patterns of the base kinds, in their order.
 KEYWORD = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 ASSIGN_HEAD = KEYWORD + r"""["']?\x20*[:=]\x20*["']?"""
@@ -112,12 +114,13 @@ def is_secret(candidate: Column) -> Column:
 
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds base_spans and spans, arrays of structs (start, kind, end) sorted by start; kind counts from 0 in KINDS."""
-    t = F.coalesce(F.col(text), F.lit(""))
+    work = packed(df, text=text)
+    t = F.coalesce("text", F.lit(""))
     base = F.array_sort(F.concat(_spans(t, ASSIGN, 0, ASSIGN_HEAD, 12), _spans(t, ACCESS, 1), _spans(t, HEX, 2)))
-    out = df.withColumns({"base_spans": base, "_candidates": _spans(t, CANDIDATE, 3)})
+    out = work.withColumns({"base_spans": base, "_candidates": _spans(t, CANDIDATE, 3)})
     own = F.filter("_candidates", lambda c: ~F.exists("base_spans", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     found = F.filter(own, lambda c: is_secret(F.substring(t, c["start"] + 1, c["end"] - c["start"])))
-    return out.withColumn("spans", F.array_sort(F.concat("base_spans", found))).drop("_candidates")
+    return unpacked(out, df.columns, base_spans=F.col("base_spans"), spans=F.array_sort(F.concat("base_spans", found)))
 
 
 def joined(spans: str) -> Column:
@@ -128,8 +131,8 @@ def joined(spans: str) -> Column:
 
 def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows with all spans replaced by the mark, and n_chars, if there, counted anew; overlapping spans are one."""
-    scanned = scan(df, text)
-    t = F.col(text)
+    scanned = scan(packed(df, text=text))
+    t = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
@@ -139,7 +142,8 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFra
 
     # substring with the text's own length as its count reaches the end
     whole = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(t, s["at"] + 1, F.length(t))))
-    out = scanned.withColumn(text, F.when(F.size("spans") > 0, whole).otherwise(t))
+    any_ = F.size("spans") > 0
+    fresh = {text: F.when(any_, whole).otherwise(t)}
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(df.columns)
+        fresh["n_chars"] = F.when(any_, F.length(fresh[text]).cast("long")).otherwise(F.col("_row").getField("n_chars"))
+    return unpacked(scanned, df.columns, **fresh).select(df.columns)

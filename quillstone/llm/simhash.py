@@ -67,7 +67,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp") -> DataFram
             found = np.array([fingerprint_of(x) for x in batch.column(text).to_pylist()], np.uint64).view(np.int64)
             yield with_columns(batch, [out], [pa.array(found)])
 
-    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.LongType())]))
+    return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name.lower() != out.lower()] + [T.StructField(out, T.LongType())]))
 
 
 def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,8 +192,8 @@ def keep_one(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         out = out.dropDuplicates(["doc_id"])
     bare = found.filter("component_id is null").select("fp").distinct()
     if not bare.isEmpty():
-        lone = fingerprints(df.filter("doc_id is null"), out="_fp").join(bare.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
-        out = out.unionByName(lone.dropDuplicates(["_fp"]).drop("_fp"))
+        lone = fingerprints(df.filter("doc_id is null"), out="_fingerprint").join(bare.withColumnRenamed("fp", "_fingerprint"), "_fingerprint", "left_semi")
+        out = out.unionByName(lone.dropDuplicates(["_fingerprint"]).drop("_fingerprint"))
     return out.select(df.columns)
 
 

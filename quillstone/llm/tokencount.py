@@ -177,6 +177,6 @@ def count_tokens(df: DataFrame, definition_path: str, limit: int = 2048, text: s
             counts = counter.counts([x or "" for x in batch.column(text).to_pylist()])
             yield with_columns(batch, ["n_tokens"], [pa.array(counts, pa.int64())])
 
-    schema = T.StructType([f for f in df.schema.fields if f.name != "n_tokens"] + [T.StructField("n_tokens", T.LongType())])
+    schema = T.StructType([f for f in df.schema.fields if f.name.lower() != "n_tokens"] + [T.StructField("n_tokens", T.LongType())])
     n_bytes = F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long")
     return df.mapInArrow(run, schema).withColumns({"n_bytes": n_bytes, "over_limit": F.col("n_tokens") > limit})
