@@ -7,7 +7,7 @@ import re
 from pyspark.sql import SparkSession
 
 #: Fixed set of plan nodes that only read.
-READING = {"Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "SubqueryAlias", "View", "Distinct", "Union", "WithCTE", "CTERelationDef", "CTERelationRef", "LogicalRelation", "LocalRelation", "Relation", "RelationV2", "Window", "Intersect", "Except", "Expand", "OneRowRelation", "Offset"}
+READING = {"Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "SubqueryAlias", "View", "Distinct", "Union", "WithCTE", "CTERelationDef", "CTERelationRef", "LogicalRelation", "LocalRelation", "LogicalRDD", "Relation", "RelationV2", "Window", "Intersect", "Except", "Expand", "OneRowRelation", "Offset"}
 
 
 def check(spark: SparkSession, query: str, tables: set[str]) -> str | None:
