@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from . import catalog, dialogue, maintenance, metrics, retrieval, scans, texts  # noqa: F401
+    from . import catalog, dialogue, fields, maintenance, metrics, retrieval, scans, texts  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
