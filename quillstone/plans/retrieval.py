@@ -78,7 +78,7 @@ def f36(spark, sf_dir):
     return r.top(by_label, 1, "label").select("query_id", F.when(F.col("score") >= 0.5, F.col("label")).alias("label"), F.round("score", 4).alias("score"))
 
 
-BRANCHES = f"{NEAR}, a AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near), b AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY abs(label - query_id // 100 % 10), vec_id) AS rank FROM near), fused AS (SELECT query_id, vec_id, sum(w / (k + rank)) AS rrf, count(*) AS sources FROM (SELECT query_id, vec_id, rank, {{wa}}::DOUBLE AS w, {{k}} AS k FROM a WHERE rank <= 70 UNION ALL SELECT query_id, vec_id, rank, {{wb}}::DOUBLE, {{k}} FROM b WHERE rank <= 70) GROUP BY query_id, vec_id)"
+BRANCHES = f"{NEAR}, a AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near), b AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY abs(label - query_id // 100 % 10), vec_id) AS rank FROM near), fused AS (SELECT query_id, vec_id, round(sum(w / (k + rank)), 8) AS rrf, count(*) AS sources FROM (SELECT query_id, vec_id, rank, {{wa}}::DOUBLE AS w, {{k}} AS k FROM a WHERE rank <= 70 UNION ALL SELECT query_id, vec_id, rank, {{wb}}::DOUBLE, {{k}} FROM b WHERE rank <= 70) GROUP BY query_id, vec_id)"
 
 
 def branches(spark, sf_dir):
