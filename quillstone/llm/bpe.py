@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
 A task gathers the distinct pre-tokens of a block of texts, lays them out as one array of symbols and keeps an
-inverted index from the rank of a pair to the positions where that pair stands. It then applies the merges in rank
-order, each to all its positions at once, and looks again only at the two neighbours of what it has merged. Rank
-order gives each word what merging its lowest-ranked pair again and again gives. A block holds a bounded number of
+inverted index from the rank of a pair, by narrow bands of ranks, to the positions where such pairs stand. It then goes
+through the bands in rank order, applies to each word there its lowest rank, all words at once, and looks again only at
+the two neighbours of what it has merged; a band is left when none of its pairs is. So each word gets what merging its
+lowest-ranked pair again and again gives. A block holds a bounded number of
 distinct words; words met before come from a bounded memory. Blocks don't depend on one another, so nothing is
 shuffled and a lost task is simply run again.
 
@@ -30,9 +31,11 @@ from .common import slices, with_columns
 from .pairs import NONE, PairTable
 
 #: Distinct new words that a block replays together, and words that a task remembers.
-BLOCK_WORDS = 150_000
-MEMORY_WORDS = 400_000
-BLOCK_BYTES = 8 << 20
+BLOCK_WORDS = 100_000
+MEMORY_WORDS = 300_000
+BLOCK_BYTES = 5 << 20
+#: The inverted index has a list of positions for each band of 2 ** BAND ranks.
+BAND = 5
 
 MARKS = frozenset(".,;:!?")
 #: A space between or after other white space. Elsewhere each space begins a pre-token, whatever surrounds it, so a text
@@ -83,40 +86,38 @@ class ReplayEncoder:
         heap: list[int] = []
 
         def note(positions: np.ndarray) -> None:
-            ranks = pair[positions]
-            keep = ranks != NONE
-            positions, ranks = positions[keep], ranks[keep]
-            if not len(positions):
+            bands = pair[positions] >> BAND
+            order = np.argsort(bands, kind="stable")
+            positions, bands = positions[order], bands[order]
+            stop = int(np.searchsorted(bands, NONE >> BAND))
+            if not stop:
                 return
-            order = np.argsort(ranks, kind="stable")
-            positions, ranks = positions[order], ranks[order]
-            cut = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-            starts = [0, *cut.tolist()]
-            for a, b, rank in zip(starts, [*starts[1:], len(ranks)], ranks[starts].tolist(), strict=True):
-                have = index.get(rank)
+            starts = np.flatnonzero(np.concatenate([[True], bands[1:stop] != bands[: stop - 1]])).tolist()
+            for a, b, band in zip(starts, [*starts[1:], stop], bands[starts].tolist(), strict=True):
+                have = index.get(band)
                 if have is None:
-                    index[rank] = [positions[a:b]]
-                    heapq.heappush(heap, rank)
+                    index[band] = [positions[a:b]]
+                    heapq.heappush(heap, band)
                 else:
                     have.append(positions[a:b])
 
         note(at)
         while heap:
-            rank = heapq.heappop(heap)
-            lists = index.pop(rank)
-            where = np.unique(np.concatenate(lists)) if len(lists) > 1 else lists[0]
-            where = where[alive[where] & (pair[where] == rank)]
+            band = heapq.heappop(heap)
+            where = np.concatenate(index.pop(band))
+            where = where[alive[where] & (pair[where] >> BAND == band)]
             if not len(where):
                 continue
-            # of one word only the leftmost, as its merge may open a lower rank or take the next one's symbol
-            own = word[where]
-            again = np.flatnonzero(own[1:] == own[:-1]) + 1
-            if len(again):
-                index[rank] = [where[again]]
-                heapq.heappush(heap, rank)
-                where = np.delete(where, again)
+            # of each word its lowest rank, leftmost; the merge may open a lower rank or take another's symbol
+            where = where[np.lexsort((where, pair[where], word[where]))]
+            first = np.ones(len(where), bool)
+            first[1:] = word[where[1:]] != word[where[:-1]]
+            if not first.all():
+                index[band] = [where[~first]]
+                heapq.heappush(heap, band)
+                where = where[first]
             gone = after[where]
-            symbol[where] = rank
+            symbol[where] = pair[where]
             alive[gone] = False
             further = after[gone]
             after[where] = further
@@ -170,12 +171,19 @@ class ReplayEncoder:
         self.memory: dict[str, int] = {}
         self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
+    def _keep(self, chunks: set[str]) -> None:
+        """Forgets all but these."""
+        kept = list(chunks)
+        at = np.fromiter(map(self.memory.__getitem__, kept), np.int64, len(kept))
+        length = self.length[at]
+        self.flat, self.start, self.length = _gather(self.flat, self.start[at], length), np.cumsum(length) - length, length
+        self.memory = dict(zip(kept, range(len(kept)), strict=True))
+
     def learn(self, chunks: set[str]) -> None:
-        """Makes sure that all these chunks are in the memory, which starts anew when it would grow too large."""
+        """Makes sure that all these chunks are in the memory, which keeps only them when it would grow too large."""
         fresh = chunks.difference(self.memory)
         if len(self.memory) + len(fresh) > MEMORY_WORDS and self.memory and fresh:
-            self._forget()
-            fresh = chunks
+            self._keep(chunks - fresh)
         fresh = list(fresh)
         for at in range(0, len(fresh), BLOCK_WORDS):
             self._learn(fresh[at : at + BLOCK_WORDS])
