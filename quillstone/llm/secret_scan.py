@@ -142,8 +142,9 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFra
 
     # substring with the text's own length as its count reaches the end
     whole = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(t, s["at"] + 1, F.length(t))))
-    any_ = F.size("spans") > 0
-    fresh = {text: F.when(any_, whole).otherwise(t)}
+    # under a name of its own first: inside a lambda, Spark takes a column for an alias of the same select
+    scanned = scanned.select("_row", F.when(F.size("spans") > 0, whole).otherwise(t).alias("_fresh"), (F.size("spans") > 0).alias("_any"))
+    fresh = {text: F.col("_fresh")}
     if "n_chars" in df.columns:
-        fresh["n_chars"] = F.when(any_, F.length(fresh[text]).cast("long")).otherwise(F.col("_row").getField("n_chars"))
+        fresh["n_chars"] = F.when(F.col("_any"), F.length("_fresh").cast("long")).otherwise(F.col("_row").getField("n_chars"))
     return unpacked(scanned, df.columns, **fresh).select(df.columns)
