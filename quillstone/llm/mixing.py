@@ -24,6 +24,8 @@ drawn alike. No rows give no rows. Extra columns pass through; one named like an
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ BUCKETS = 1024
 DOCS_PER_BLOCK = 64
 SHARDS = 16
 SEED = 42
+#: Words that one task shuffles within a shard.
+WORDS_PER_SLICE = 2_000_000
 #: Rows of a plan table (about 100 bytes each) up to which it is broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -220,8 +224,11 @@ def mix(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed documents: each row as often as it is drawn, dealt out by shard and shuffled within each."""
     sized = written(with_sizes(df, seed).select("doc_id", "source", "size", "_hash"), "sized")
     work = with_sizes(packed(df, doc_id="doc_id", source="source", text="text"), seed).drop("text")
-    drawn = MixPlan(sized, shards, seed).apply(work)
+    plan = MixPlan(sized, shards, seed)
+    drawn = plan.apply(work)
+    words = plan.sources.agg(F.sum("target")).first()[0] or 0  # one number
+    slices = max(8, math.ceil(words / shards / WORDS_PER_SLICE))
     rows = drawn.select("_row", "_hash", F.posexplode("shards").alias("_turn", "_shard"))
-    salt = F.pmod(F.xxhash64("_hash", "_turn"), F.lit(8))  # a shard may be larger than a task
+    salt = F.pmod(F.xxhash64("_hash", "_turn"), F.lit(slices))  # a shard may be larger than a task
     local = F.xxhash64(F.lit(seed), "_shard", "_hash", "_turn")
     return rows.withColumn("_local", local).repartition("_shard", salt).sortWithinPartitions("_shard", "_local").select("_row.*")
