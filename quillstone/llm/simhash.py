@@ -175,7 +175,8 @@ def cluster(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
     linked = roots.join(distinct, "fp")
     lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
     of_linked = linked.join(lowest, "root").select("fp", "component")
-    classes = distinct.join(of_linked, "fp", "left").select("fp", F.coalesce("component", "low").alias("component_id"))
+    # written, so that the join below reads plain shuffles, of which a hot fingerprint's can be split
+    classes = written(distinct.join(of_linked, "fp", "left").select("fp", F.coalesce("component", "low").alias("component_id")), "components")
     return docs.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
