@@ -56,15 +56,33 @@ def grams(text: str, bins: int = BINS) -> np.ndarray:
 def train(docs: DataFrame, most: int = TRAIN_DOCS, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages, and the log-likelihood of each gram under each, from at most `most` labelled documents.
 
-    The sample is those with the least hash, so reruns agree; it is the only part that doesn't cover all rows.
+    The sample is those with the least hash, so reruns agree; it is the only part that doesn't cover all rows. Texts stay
+    on the executors; the driver gets hashes of the sample's size, and at most BINS counts a language.
     """
-    sample = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, F.substring(text, 1, 4000).alias("t")).orderBy(F.xxhash64(lang, text)).limit(most)
-    rows = sample.collect()
-    langs = sorted({r[0] for r in rows})
+    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    labelled = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64("doc_id", lang, text).alias("hash"))
+    least = [r[0] for r in labelled.select("hash").orderBy("hash").limit(most).collect()]
+    if not least:
+        return [], np.zeros((0, BINS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            counts: dict[str, np.ndarray] = {}
+            for own, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                counts.setdefault(own, np.zeros(BINS, np.int64))
+                counts[own] += np.bincount(grams(t), minlength=BINS)
+            for own, c in counts.items():
+                at = np.flatnonzero(c)
+                yield pa.RecordBatch.from_arrays([pa.array([own] * len(at), pa.string()), pa.array(at), pa.array(c[at])], names=["lang", "bin", "n"])
+
+    sample = labelled.filter(F.col("hash") <= least[-1]).select("lang", "text")
+    rows = sample.mapInArrow(run, "lang string, bin bigint, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
+    names, bins, n = rows.column("lang").to_pylist(), rows.column("bin").to_numpy(), rows.column("n").to_numpy()
+    langs = sorted(set(names))
     counts = np.full((len(langs), BINS), 0.5)
-    for r in rows:
-        np.add.at(counts[langs.index(r[0])], grams(r[1]), 1)
-    return langs, np.log(counts / counts.sum(axis=1, keepdims=True)) if langs else np.zeros((0, BINS))
+    place = {x: i for i, x in enumerate(langs)}
+    counts[[place[x] for x in names], bins] += n
+    return langs, np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
 def text_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, page: str = "html") -> DataFrame:
