@@ -1,11 +1,12 @@
 """Secret scans: sliding-window Shannon entropy for each character class, with allow-list suppression.
 
 Base secrets are matches of three patterns. Beside them, candidate strings are runs of 20 or more characters of the
-base64 alphabet. A window of WINDOW characters slides over each candidate, once for the class of hexadecimal digits and
-once for letters and digits in general. The window's sum of c * log2(c) over its character counts c is kept up by the
+base64 alphabet. A window of WINDOW characters slides over each candidate, once over its runs of hexadecimal digits and
+once over the whole for letters and digits in general. The window's sum of c * log2(c) over its character counts c is kept up by the
 two counts that change in a step, that of the character that leaves and that of the one that enters; the entropy is
 log2(WINDOW) less that sum over WINDOW. Fixed-point values keep it exact. A candidate is a secret if its greatest
-window entropy reaches its class's threshold, it mixes digits with letters, and the allow-list doesn't know it.
+window entropy of a class reaches the class's threshold, it mixes digits with letters, and the allow-list doesn't know
+it. A candidate that base spans cover whole is theirs; one that they cover in part is scanned like any other.
 
 Everything on the path is a DataFrame function on one row: nothing is shuffled, so no key can be hot. Offsets are code
 points, end exclusive. A null text counts as empty and has no spans. Texts of any length are scanned whole; repeated
@@ -30,6 +31,7 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+HEX_RUN = r"[0-9a-fA-F]{20,}"
 WINDOW = 20
 UNIT = 1 << 20
 #: c * log2(c) in units of 1 / UNIT for c from 0 to WINDOW.
@@ -108,8 +110,15 @@ def is_secret(candidate: Column) -> Column:
         allowed |= lower.contains(word)
     for form in ALLOWED_FORMS:
         allowed |= candidate.rlike(form)
-    limit = F.when(candidate.rlike("^[0-9a-fA-F]+$"), F.lit(most_sum(HEX_BITS))).otherwise(F.lit(most_sum(MIXED_BITS)))
-    return F.when(allowed, F.lit(False)).otherwise(best_window(candidate) <= limit)
+    runs = F.filter(F.regexp_extract_all(candidate, F.lit(HEX_RUN), F.lit(0)), lambda r: r.rlike("[0-9]") & r.rlike("[a-fA-F]"))
+    secret = (best_window(candidate) <= most_sum(MIXED_BITS)) | F.exists(runs, lambda r: best_window(r) <= most_sum(HEX_BITS))
+    return F.when(allowed, F.lit(False)).otherwise(secret)
+
+
+def covered(c: Column) -> Column:
+    """Whether base_spans, which are sorted by start, cover a candidate whole."""
+    reach = F.aggregate("base_spans", c["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at))
+    return reach >= c["end"]
 
 
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
@@ -118,7 +127,7 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     base = F.array_sort(F.concat(_spans(t, ASSIGN, 0, ASSIGN_HEAD, 12), _spans(t, ACCESS, 1), _spans(t, HEX, 2)))
     out = work.withColumns({"base_spans": base, "_candidates": _spans(t, CANDIDATE, 3)})
-    own = F.filter("_candidates", lambda c: ~F.exists("base_spans", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    own = F.filter("_candidates", lambda c: ~covered(c))
     found = F.filter(own, lambda c: is_secret(F.substring(t, c["start"] + 1, c["end"] - c["start"])))
     return unpacked(out, df.columns, base_spans=F.col("base_spans"), spans=F.array_sort(F.concat("base_spans", found)))
 
