@@ -5,6 +5,9 @@ From each anchor a deterministic local parser expands to the borders of an e-mai
 number, telephone number, URL with user data or account number, and validates it (octets, Luhn, digit counts, mod 97).
 Parsers of one kind never look again at characters that a match of that kind has used, so each text takes linear time.
 
+An octet may have any number of leading zeros. A scheme has any length and begins with its run's first letter; cues are
+met in any case of their letters.
+
 Offsets are code points, end exclusive. A null text counts as empty and has no spans. Texts of any length are scanned
 whole; repeated rows give repeated results. Nothing is shuffled, so no key can be hot. Extra columns pass through; one
 named like an added column is replaced.
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -35,6 +39,7 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 SCHEME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-"
+NOT_FIRST = "0123456789+.-"
 USER_URL = re.compile(r"://[^\s/?#@<>\"']+@[A-Za-z0-9.-]+(?::[0-9]+)?(?:[/?#][^\s<>\"']*)?")
 CUES = ("iban", "ssn", "account", "acct", "passport")
 AFTER_CUE = re.compile(r"\s{0,3}(?:number|no|nr)?[\s:#.=]{1,4}", re.IGNORECASE)
@@ -64,14 +69,14 @@ class AnchorScanner:
         for key in ("@", "+", "://", *"0123456789"):
             self.automaton.add_word(key, (key, len(key)))
         for cue in CUES:
-            for form in (cue, cue.title(), cue.upper()):
+            for form in map("".join, product(*((c, c.upper()) for c in cue))):  # in any case of their letters
                 self.automaton.add_word(form, ("cue", len(form)))
         self.automaton.make_automaton()
 
     def scan(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind, end) of all spans, sorted."""
         out: list[tuple[int, int, int]] = []
-        mail_at = quad_at = card_at = phone_at = url_at = account_at = seen_at = 0
+        mail_at = quad_at = card_at = phone_at = url_at = account_at = seen_at = scheme_at = 0
         for last, (key, width) in self.automaton.iter(text):
             at = last - width + 1
             if key == "@":
@@ -90,13 +95,13 @@ class AnchorScanner:
                     if 9 <= sum(c.isdigit() for c in m.group()) <= 15:
                         out.append((at, 3, m.end()))
             elif key == "://":
-                if at >= url_at:
-                    head = text[max(url_at, at - 20) : at]
-                    start = at - (len(head) - len(head.rstrip(SCHEME)))
-                    m = USER_URL.match(text, at)
-                    if start < at and text[start].isalpha() and m:
-                        out.append((start, 4, m.end()))
+                if at >= url_at and (m := USER_URL.match(text, at)):
+                    head = text[max(url_at, scheme_at) : at]
+                    scheme = head[len(head.rstrip(SCHEME)) :].lstrip(NOT_FIRST)
+                    if scheme:
+                        out.append((at - len(scheme), 4, m.end()))
                         url_at = m.end()
+                scheme_at = at + 3
             elif key == "cue":
                 if at >= account_at and not (at and text[at - 1].isalnum()):
                     self._account(text, at, last + 1, out)
@@ -106,7 +111,7 @@ class AnchorScanner:
                     m = QUAD.match(text, at)
                     if m:
                         quad_at = m.end()
-                        if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m.group().split(".")):
+                        if all(len(x) < 4 and int(x or "0") <= 255 for x in (x.lstrip("0") for x in m.group().split("."))):
                             out.append((at, 1, m.end()))
                     else:  # no other start in this run of digits can do better
                         quad_at = DIGITS.match(text, at).end()
