@@ -57,16 +57,20 @@ def secrets_sql() -> str:
     head = quoted("^" + secret_scan.ASSIGN_HEAD)
     table = "[" + ", ".join(map(str, secret_scan.C_LOG_C)) + "]"
     width = secret_scan.WINDOW
-    chars = f"list_transform(range({width}), lambda k: substring(hit, s + k, 1))"
-    allowed = " OR ".join([f"contains(lower(hit), '{w}')" for w in secret_scan.ALLOWED_WORDS] + [f"regexp_matches(hit, {quoted(f)})" for f in secret_scan.ALLOWED_FORMS])
+    chars = f"list_transform(range({width}), lambda k: substring(run, s + k, 1))"
+    words = f"len(list_filter(string_split_regex(hit, {quoted(secret_scan.SEPARATORS)}), lambda p: NOT (length(p) <= {secret_scan.WORD_MOST} AND regexp_matches(p, {quoted(secret_scan.WORD_FORM)})))) = 0"
+    allowed = " OR ".join([f"contains(lower(hit), '{w}')" for w in secret_scan.ALLOWED_WORDS] + [f"regexp_matches(hit, {quoted(f)})" for f in secret_scan.ALLOWED_FORMS] + [words])
     text = "string_agg(['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || CAST(a AS VARCHAR) || ':' || CAST(b AS VARCHAR), ',' ORDER BY a, kind, b)"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 {spans("sa", secret_scan.ASSIGN, 0)}, {spans("sk", secret_scan.ACCESS, 1)}, {spans("sh", secret_scan.HEX, 2)}, {spans("sc", secret_scan.CANDIDATE, 3)},
 base AS (SELECT rid, kind, a, b FROM sa WHERE length(regexp_replace(hit, {head}, '')) >= 12 UNION ALL SELECT rid, kind, a, b FROM sk UNION ALL SELECT rid, kind, a, b FROM sh),
-own AS (SELECT * FROM sc WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = sc.rid AND base.a < sc.b AND sc.a < base.b)),
-sums AS (SELECT rid, a, b, hit, s, sum({table}[n + 1]) AS total FROM (SELECT rid, a, b, hit, s, c, count(*) AS n FROM (SELECT rid, a, b, hit, s, unnest({chars}) AS c FROM (SELECT *, unnest(range(1, length(hit) - {width} + 2)) AS s FROM own)) GROUP BY ALL) GROUP BY rid, a, b, hit, s),
-entropy AS (SELECT rid, 3 AS kind, a, b FROM sums WHERE NOT ({allowed}) GROUP BY rid, a, b, hit HAVING min(total) <= CASE WHEN regexp_matches(hit, '^[0-9a-fA-F]+$') THEN {secret_scan.most_sum(secret_scan.HEX_BITS)} ELSE {secret_scan.most_sum(secret_scan.MIXED_BITS)} END),
+bare AS (SELECT DISTINCT rid, a, b FROM (SELECT rid, a, b, unnest(range(a, b)) AS p FROM sc) c WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = c.rid AND base.a <= c.p AND c.p < base.b)),
+own AS (SELECT rid, a, b, regexp_replace(hit, {quoted(secret_scan.KEYBOARD_RUNS)}, '', 'g') AS run FROM sc JOIN bare USING (rid, a, b) WHERE NOT ({allowed})),
+runs AS (SELECT rid, a, b, run, {secret_scan.most_sum(secret_scan.MIXED_BITS)} AS most FROM own
+  UNION ALL SELECT rid, a, b, run, {secret_scan.most_sum(secret_scan.HEX_BITS)} FROM (SELECT rid, a, b, unnest(regexp_extract_all(run, {quoted(secret_scan.HEX_RUN)})) AS run FROM own WHERE length(run) >= {width}) WHERE regexp_matches(run, '[0-9]') AND regexp_matches(run, '[a-fA-F]')),
+sums AS (SELECT rid, a, b, most, run, s, sum({table}[n + 1]) AS total FROM (SELECT rid, a, b, most, run, s, c, count(*) AS n FROM (SELECT rid, a, b, most, run, s, unnest({chars}) AS c FROM (SELECT *, unnest(range(1, length(run) - {width} + 2)) AS s FROM runs)) GROUP BY ALL) GROUP BY rid, a, b, most, run, s),
+entropy AS (SELECT DISTINCT rid, 3 AS kind, a, b FROM sums WHERE total <= most),
 spans AS (SELECT rid, kind, a, b FROM base UNION ALL SELECT rid, kind, a, b FROM entropy),
 g AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
   {text.replace("ORDER BY a, kind, b)", "ORDER BY a, kind, b) FILTER (WHERE kind < 3)")} AS base, {text} AS spans FROM spans GROUP BY rid)
