@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import numpy as np
 
+
+def apart(joined: np.ndarray) -> np.ndarray:
+    """Which of the rows of runs to take from the left so that none touches another; joined: touches the row before."""
+    at = np.arange(len(joined))
+    return (at - np.maximum.accumulate(np.where(joined, 0, at))) % 2 == 0
+
+
 #: No such pair.
 NONE = np.int32(2**31 - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class PairTable:
-    """Maps (left, right) to (rank, merged symbol); built once, then read by whole arrays."""
+    """Maps (left, right) to (rank, merged symbol); built once, then read by whole arrays.
+
+    alone tells of each merged symbol whether there is a pair with it of a lower rank than the pair that made it. Unless
+    a merge opens such a pair, all occurrences of a sequence's lowest pair that don't overlap may be merged together, from
+    the left: nothing comes before the rest of them.
+    """
 
     def __init__(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray, merged: np.ndarray) -> None:
         bits = max(4, int(2 * len(left)).bit_length() + 1)
@@ -32,6 +44,12 @@ class PairTable:
             done[placed] = True
             todo = todo[~done[todo]]
             slot[todo] = slot[todo] + 1 & self.mask
+        # symbols that a merge of a lower rank than their own may follow: none in most vocabularies
+        made, opened = np.full(int(merged.max(initial=0)) + 1, -1, np.int64), np.full(int(max(merged.max(initial=0), left.max(initial=0), right.max(initial=0))) + 1, NONE, np.int64)
+        np.maximum.at(made, merged, rank)
+        np.minimum.at(opened, left, rank)
+        np.minimum.at(opened, right, rank)
+        self.alone = opened[: len(made)] < made
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * _MULTIPLIER) >> self.shift).astype(np.int64)

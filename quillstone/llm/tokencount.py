@@ -1,8 +1,10 @@
 """Token counts by rank-synchronous array merging.
 
 The distinct pre-tokens of a batch lie in one ragged numpy array of symbols. In each step every sequence applies its
-own lowest-ranked pair, all sequences at once; a sequence without a pair is done and leaves the arrays. What survives
-is counted, so ids are never built. Words met before come from a bounded memory.
+own lowest-ranked pair, wherever it stands in it without overlap, all sequences at once; a sequence without a pair is
+done and leaves the arrays. So a sequence takes a step for each pair that it merges, however often it does, and a long
+pre-token halves with them. What survives is counted, so ids are never built. Words met before come from a bounded
+memory.
 
 The vocabulary file's own rules hold: its normaliser (NFC, white space, lower case), its pre-tokeniser, the byte
 alphabet, the end-of-word suffix, and its added tokens, whose strings in a text count as one token each.
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, with_columns
-from .pairs import NONE, PairTable
+from .pairs import NONE, PairTable, apart
 
 BLOCK_WORDS = 250_000
 MEMORY_WORDS = 500_000
@@ -50,6 +52,7 @@ class SynchronousCounter:
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
         split, level = spec["pre_tokenizer"]["pretokenizers"]
         plain = all(not (x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"]) for x in spec["added_tokens"])
+        plain &= not any(c.isspace() for x in spec["added_tokens"] for c in x["content"])
         if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or level["use_regex"] or not plain:
             raise ValueError("this kind of tokenizers file isn't supported")
         vocab, suffix = model["vocab"], model["end_of_word_suffix"] or ""
@@ -95,22 +98,22 @@ class SynchronousCounter:
                 if not len(at):
                     break
                 start = np.cumsum(length) - length
-            # the leftmost of each sequence's lowest pairs; the next step finds its equals again
+            # each sequence's lowest pair wherever it stands, from the left and without overlap
             hits = np.flatnonzero(rank == np.repeat(lowest, length))
             owner = np.searchsorted(start, hits, side="right") - 1
-            first = np.ones(len(hits), bool)
-            first[1:] = owner[1:] != owner[:-1]
-            hits = hits[first]
+            taken = apart(np.concatenate([[False], hits[1:] == hits[:-1] + 1]))
+            taken[1:] &= (owner[1:] != owner[:-1]) | ~table.alone[table.merged[slot[hits[1:]]]]
+            hits, owner = hits[taken], owner[taken]
             symbol[hits] = table.merged[slot[hits]]
             stays = np.ones(len(symbol), bool)
             stays[hits + 1] = False
             symbol, slot = symbol[stays], slot[stays]
             hits -= np.arange(len(hits))
-            length -= 1
+            length -= np.bincount(owner, minlength=len(length))
             start = np.cumsum(length) - length
             stop = start + length - 1
-            touched = np.concatenate([hits, hits[hits > start] - 1])
-            final = np.concatenate([hits == stop, np.zeros(len(touched) - len(hits), bool)])
+            touched = np.concatenate([hits, hits[hits > start[owner]] - 1])
+            final = np.concatenate([hits == stop[owner], np.zeros(len(touched) - len(hits), bool)])
             slot[touched[final]] = -1
             touched = touched[~final]
             slot[touched] = table.find(symbol[touched], symbol[touched + 1])
@@ -119,7 +122,7 @@ class SynchronousCounter:
     def _pieces(self, word: str) -> tuple[int, list[str]]:
         """The added tokens in a word, and its pre-tokens."""
         count, parts = 0, [word]
-        if self.split_added and "<" in word:
+        if self.split_added and self.split_added.search(word):
             parts = self.split_added.split(word)
             count = len(parts) - 1
         found = []
