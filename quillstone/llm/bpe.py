@@ -2,11 +2,14 @@
 
 A task gathers the distinct pre-tokens of a block of texts, lays them out as one array of symbols and keeps an
 inverted index from the rank of a pair, by narrow bands of ranks, to the positions where such pairs stand. It then goes
-through the bands in rank order, applies to each word there its lowest rank, all words at once, and looks again only at
-the two neighbours of what it has merged; a band is left when none of its pairs is. So each word gets what merging its
-lowest-ranked pair again and again gives. A block holds a bounded number of
-distinct words; words met before come from a bounded memory. Blocks don't depend on one another, so nothing is
-shuffled and a lost task is simply run again.
+through the bands in rank order, applies to each word there its lowest rank wherever it stands without overlap, all words
+at once, and looks again only at the two neighbours of what it has merged; a band is left when none of its pairs is. So
+each word gets what merging its lowest-ranked pair again and again gives, and a long word takes work by its length and
+the pairs that it merges. A block holds a bounded number of distinct words; words met before come from a bounded memory.
+Blocks don't depend on one another, so nothing is shuffled and a lost task is simply run again.
+
+A pre-token that is a token as a whole is that token, as in the library; no merges are replayed for it. With the pattern
+WORDS, texts are cut at spaces first, as its pre-tokens are; with any other pattern, the pattern alone cuts them.
 
 Nulls count as empty texts and give no ids. Empty texts give an empty list. Texts of any length are encoded whole;
 repeated rows give repeated results. A column named like an added one is replaced.
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import slices, with_columns
-from .pairs import NONE, PairTable
+from .pairs import NONE, PairTable, apart
 
 #: Distinct new words that a block replays together, and words that a task remembers.
 BLOCK_WORDS = 100_000
@@ -37,6 +40,8 @@ BLOCK_BYTES = 5 << 20
 #: The inverted index has a list of positions for each band of 2 ** BAND ranks.
 BAND = 5
 
+#: Fixed value: the public pattern for which texts may be cut at spaces.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARKS = frozenset(".,;:!?")
 #: A space between or after other white space. Elsewhere each space begins a pre-token, whatever surrounds it, so a text
 #: may be cut before its spaces.
@@ -51,8 +56,7 @@ class ReplayEncoder:
         self.rank_of = {base64.b64decode(a): int(b) for a, b in pairs}
         self.token_of = {b: a for a, b in self.rank_of.items()}
         self.pattern = regex.compile(pattern)
-        #: Whether the pattern treats a space and letters as one pre-token, and a mark behind them as another.
-        self.usual = [self.pattern.findall(x) for x in (" ab", "ab", "é", " aB.", "ß,")] == [[" ab"], ["ab"], ["é"], [" aB", "."], ["ß", ","]]
+        self.usual = pattern == WORDS
         self.byte_rank = np.array([self.rank_of.get(bytes([b]), -1) for b in range(256)], np.int32)
         left, right, merged = [], [], []
         for token, rank in self.rank_of.items():
@@ -108,14 +112,29 @@ class ReplayEncoder:
             where = where[alive[where] & (pair[where] >> BAND == band)]
             if not len(where):
                 continue
-            # of each word its lowest rank, leftmost; the merge may open a lower rank or take another's symbol
+            # of each word its lowest rank, from the left and without overlap; the merge may open other ranks of the band
             where = where[np.lexsort((where, pair[where], word[where]))]
+            where = where[np.concatenate([[True], where[1:] != where[:-1]])]
             first = np.ones(len(where), bool)
             first[1:] = word[where[1:]] != word[where[:-1]]
-            if not first.all():
-                index[band] = [where[~first]]
+            lowest = pair[where][np.maximum.accumulate(np.where(first, np.arange(len(where)), 0))]
+            taken = pair[where] == lowest
+            own = np.flatnonzero(taken)
+            taken[own] = apart(np.concatenate([[False], after[where[own[:-1]]] == where[own[1:]]]))
+            maybe = np.flatnonzero(taken & self.table.alone[lowest])
+            if len(maybe):  # no further than to the first merge of a word that opens a pair of a lower rank
+                here, made = where[maybe], lowest[maybe]
+                behind, ahead = before[here], after[after[here]]
+                next_ = np.concatenate([[False], behind[1:] == after[here[:-1]]])
+                opened = (behind >= 0) & (self.table.ranks(np.where(next_, made, symbol[behind]), made) < made)
+                opened |= (ahead >= 0) & (self.table.ranks(made, symbol[ahead]) < made)
+                upto = np.cumsum(opened) - opened
+                start = np.concatenate([[True], word[here[1:]] != word[here[:-1]]])
+                taken[maybe] = upto == np.maximum.accumulate(np.where(start, upto, 0))
+            if not taken.all():
+                index[band] = [where[~taken]]
                 heapq.heappush(heap, band)
-                where = where[first]
+                where = where[taken]
             gone = after[where]
             symbol[where] = pair[where]
             alive[gone] = False
@@ -140,8 +159,8 @@ class ReplayEncoder:
     def _learn(self, chunks: list[str]) -> None:
         """Replays the merges over the distinct words of new chunks and remembers the chunks' ids."""
         find = self.pattern.findall
-        if self.usual:  # letters, maybe with one mark behind: most pieces, and no work for the pattern
-            parts = [(c,) if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else (c[:-1], c[-1]) if c[-1:] in MARKS and c[1:-1].isalpha() and (c[0] == " " or c[0].isalpha()) else find(c) for c in chunks]
+        if self.usual:  # A-Z letters, maybe with one mark behind: most pieces, and no work for the pattern
+            parts = [find(c) if not c.isascii() else (c,) if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else (c[:-1], c[-1]) if c[-1:] in MARKS and c[1:-1].isalpha() and (c[0] == " " or c[0].isalpha()) else find(c) for c in chunks]
         else:
             parts = [find(c) for c in chunks]
         words = list(set(chain.from_iterable(parts)))
@@ -194,7 +213,7 @@ class ReplayEncoder:
         Arrow splits the texts at spaces and finds the distinct pieces; Python only sees those.
         """
         texts = pc.fill_null(column, "")
-        odd = pc.match_substring_regex(texts, ODD)
+        odd = pc.match_substring_regex(texts, ODD) if self.usual else pa.array([True] * len(texts), pa.bool_())
         lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         borders = lists.offsets.to_numpy().astype(np.int64)
         pieces = lists.values.dictionary_encode()
