@@ -12,7 +12,8 @@ import tiktoken
 import corpus_pipeline
 from quillstone.llm import QUERIES, SQL, quality
 from quillstone.llm.common import read_table, written
-from tests.llm.test_operators import WORD, plain_components, plain_fingerprint, plain_measures, plain_secrets
+from tests.llm.test_near_copies import plain_kept as near_kept
+from tests.llm.test_operators import WORD, plain_measures, plain_secrets
 
 
 @pytest.fixture(scope="module")
@@ -61,8 +62,8 @@ def test_quality_near_dedup_and_secrets(spark, sf_dir, stages):
     kept = plain_kept(rows)
     assert Counter(r.doc_id for r in stages[0].collect()) == Counter(kept)
     left = sorted((r for r in rows if r.doc_id in kept), key=lambda r: r.doc_id)
-    roots = plain_components([plain_fingerprint(r.text) for r in left])
-    one = {left[i].doc_id: left[i] for i in set(roots)}
+    ids = near_kept([(r.doc_id, r.text) for r in left])  # the stage's rule: 5-word shingles, similarity of 0.8
+    one = {r.doc_id: r for r in left if r.doc_id in ids}
     assert Counter(r.doc_id for r in stages[1].collect()) == Counter(one.keys())
     for r in stages[2].collect():
         before, out, at = one[r.doc_id].text, "", 0
@@ -103,6 +104,31 @@ def test_mixing_and_encoding(stages):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_odd_rows_pass_all_stages(spark):
+    """Nulls in each column, empty and very long texts, ties, repeated rows and clashing names; and no rows at all."""
+    prose = " ".join(f"word{i % 97} other{i % 89} third{i % 83}" for i in range(120))
+    rows = [(1, prose, "en", "s", 5), (1, prose, "en", "s", 5), (2, None, "en", "s", None), (3, "", None, None, 0), (None, prose + " more of it", None, "s", 3), (None, None, None, None, None)]
+    rows += [(4, " ".join(f"w{i}" for i in range(60000)), "fr", None, 9), (4, prose.replace("word", "wort"), "de", "t", 9), (5, prose.replace("third", "tiers"), "fr", "t", 7)]
+    names = ["size", "taken", "shards", "spans", "kept", "_key", "_hash", "_row", "tokens", "root", "KEY"]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for n in names:
+        df = df.selectExpr("*", f"'x' as `{n}`")
+    out, kept = df, []
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = written(stage(spark, out, ""), "odd")
+        assert out.columns == df.columns
+        kept.append(out.collect())
+    assert Counter(r.doc_id for r in kept[0]) == Counter([1, 1, None, 4, 4, 5])
+    assert Counter(r.doc_id for r in kept[1]) == Counter([1, 4, 4, 5])
+    assert {r.doc_id for r in kept[3]} <= {1, 4, 5} and all(r["KEY"] == "x" for r in kept[3])
+    coded = corpus_pipeline.STAGES[4][1](spark, out, "").collect()
+    assert len(coded) == len(kept[3])
+    out = df.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, out, ""), "none")
+        assert out.count() == 0
+
+
 def test_registered_names():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
