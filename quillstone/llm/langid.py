@@ -10,7 +10,7 @@ taken out of its host's and domain's sums first, so no page votes for itself.
 
 Text likelihoods are tempered (TEMPER), as n-grams of one page aren't independent. A null or empty page has no text
 evidence and gets what the other evidence says; a null address has its own host group; a page without any evidence
-gets the corpus prior. Ties go to the first language in code-point order. Repeated rows give repeated results. Extra
+gets the corpus prior. Pages are read whole, in time by their length, however broken their markup is. Ties go to the first language in code-point order. Repeated rows give repeated results. Extra
 columns pass through the text step only if asked for. Sums by host are partial before the shuffle, and the join back
 carries narrow rows, so a hot host is no hot task.
 """
@@ -35,10 +35,30 @@ TEMPER = 0.2
 #: Pseudo-counts of a host towards its domain, and of a domain towards the corpus; and of attribute tables.
 HOST_WEIGHT, DOMAIN_WEIGHT, ATTRIBUTE_WEIGHT = 5.0, 5.0, 2.0
 
-_DROP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
+_RAW = re.compile(r"<(script|style)\b", re.IGNORECASE)
+_CLOSE = {n: re.compile(f"</{n}\\s*>", re.IGNORECASE) for n in ("script", "style")}
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+def text_of(page: str) -> str:
+    """A page without tags, comments, scripts and styles, an unclosed one of these with all behind it; in one pass."""
+    parts, at = [], 0
+    while (low := page.find("<", at)) >= 0:
+        parts.append(page[at:low])
+        if page.startswith("<!--", low):
+            end = page.find("-->", low + 4)
+            at = end + 3 if end >= 0 else len(page)
+        elif m := _RAW.match(page, low):
+            close = _CLOSE[m[1].lower()].search(page, m.end())
+            at = close.end() if close else len(page)
+        elif (end := page.find(">", low)) >= 0:
+            at = end + 1
+        else:
+            at = low
+            break
+    return html.unescape(" ".join([*parts, page[at:]]))
+
+
 def grams(text: str, bins: int = BINS) -> np.ndarray:
     """The bins of a text's words and of their letter pairs and triples."""
     out: list[int] = []
@@ -93,7 +113,7 @@ def text_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, page: s
         for batch in slices(batches, page):
             out = []
             for x in batch.column(page).to_pylist():
-                g = grams(html.unescape(_DROP.sub(" ", x or "")))
+                g = grams(text_of(x or ""))
                 ll = TEMPER * known.value[:, g].sum(axis=1, dtype=np.float64)
                 out.append(np.round(ll - ll.max(), 6).tolist())
             kept = [n for n in batch.schema.names if n != page]
@@ -103,22 +123,28 @@ def text_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, page: s
     return pages.mapInArrow(run, f"{kept}, ll array<double>")
 
 
+def _total(values: Column | str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
 def _softmax(ll: Column) -> Column:
     raised = F.transform(ll, lambda x: F.exp(x - F.array_max(ll)))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, x: a + x)
+    total = _total(raised)
     return F.transform(raised, lambda x: x / total)
 
 
-def _sums(df: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
-    """The sums of the posteriors by keys, in millionths so that their order doesn't matter."""
-    return df.groupBy(*keys).agg(*[F.sum(F.get("millionths", F.lit(i))).alias(f"{name}{i}") for i in range(n)])
+def _sums(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """An array of the sums of the posteriors by keys, in millionths so that their order doesn't matter."""
+    each = df.select(*keys, F.posexplode("millionths").alias("_at", "_of")).groupBy(*keys, "_at").agg(F.sum("_of").alias("_of"))
+    return each.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_of"))), lambda x: x["_of"]).alias(name))  # a value a language
 
 
 def identify(pages: DataFrame, docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     """(page_id, url, lang, confidence) for each page."""
     langs, model = train(docs, most)
     n = len(langs)
-    declared = F.lower(F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    first = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?is)^.*?<html\b([^>]*)", 1)
+    declared = F.lower(F.regexp_extract(first, r"(?i)\blang\s*=\s*[\"']?([a-z]{2,3})", 1))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     folder = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:]+://[^/]+/([A-Za-z]{2})(?:[/?#]|$)", 1))
     rows = pages.select("page_id", "url", "html", declared.alias("declared"), host.alias("host"), F.concat_ws("/", F.regexp_extract(host, r"([^.]*)$", 1), folder).alias("suffix"))
@@ -128,28 +154,25 @@ def identify(pages: DataFrame, docs: DataFrame, most: int = TRAIN_DOCS) -> DataF
     seen = text_evidence(rows, langs, model)
     seen = seen.withColumn("millionths", F.transform(_softmax(F.col("ll")), lambda p: F.round(p * 1_000_000).cast("long")))
     seen = written(seen, "language-evidence")
-    corpus = _sums(seen, [], n, "c")
-    out = seen.crossJoin(F.broadcast(corpus))  # one row
+    out = seen.crossJoin(F.broadcast(_sums(seen, [], "c")))  # one row
     for keys, name in ((["host"], "h"), (["domain"], "d"), (["declared"], "m"), (["suffix"], "s")):
-        out = out.join(_sums(seen, keys, n, name), keys, "left")
-
-    def value(name: str, i: int) -> Column:
-        own = F.get("millionths", F.lit(i)) if name in "hd" else F.lit(0)
-        return (F.col(f"{name}{i}") - own) / 1e6
-
-    def total(name: str) -> Column:
-        return sum((value(name, i) for i in range(n)), F.lit(0.0))
-
-    scores = []
-    for i in range(n):
-        base = (F.col(f"c{i}") / 1e6 + 1) / (total("c") + n)
-        domain = (value("d", i) + DOMAIN_WEIGHT * base) / (total("d") + DOMAIN_WEIGHT)
-        prior = (value("h", i) + HOST_WEIGHT * domain) / (total("h") + HOST_WEIGHT)
-        score = F.get("ll", F.lit(i)) + F.log(prior)
+        out = out.join(_sums(seen, keys, name), keys, "left")
+    # shares of a page; a page's own evidence is no evidence about its host
+    out = out.withColumns({k: F.transform(k, lambda x: x / 1e6) for k in "cms"} | {k: F.zip_with(k, "millionths", lambda x, y: (x - y) / 1e6) for k in "hd"})
+    out = out.withColumns({f"{k}_all": _total(k) for k in "cmshd"})
+    out = out.withColumn("base", F.transform("c", lambda x: (x + 1) / (F.col("c_all") + n)))
+    places = F.sequence(F.lit(0), F.lit(n - 1))
+
+    def score(i: Column) -> Column:
+        base = F.get("base", i)
+        domain = (F.get("d", i) + DOMAIN_WEIGHT * base) / (F.col("d_all") + DOMAIN_WEIGHT)
+        prior = (F.get("h", i) + HOST_WEIGHT * domain) / (F.col("h_all") + HOST_WEIGHT)
+        total = F.get("ll", i) + F.log(prior)
         for name in "ms":  # how much likelier the attribute is in this language than overall
-            share = (value(name, i) + ATTRIBUTE_WEIGHT * base) / (total(name) + ATTRIBUTE_WEIGHT)
-            score += F.log(share / base)
-        scores.append(F.round(score, 6))
-    posterior = out.withColumn("scores", F.array(*scores)).withColumn("posterior", _softmax(F.col("scores")))
+            share = (F.get(name, i) + ATTRIBUTE_WEIGHT * base) / (F.col(f"{name}_all") + ATTRIBUTE_WEIGHT)
+            total += F.log(share / base)
+        return F.round(total, 6)
+
+    posterior = out.withColumn("scores", F.transform(places, score)).withColumn("posterior", _softmax(F.col("scores")))
     best = F.array_position("scores", F.array_max("scores")) - 1
     return posterior.select("page_id", "url", F.get(F.array(*[F.lit(x) for x in langs]), best.cast("int")).alias("lang"), F.round(F.array_max("posterior"), 4).alias("confidence"))

@@ -179,6 +179,53 @@ def test_language(spark):
     assert langid.identify(df, docs.limit(0)).filter("lang is not null").count() == 0
 
 
+def test_language_posterior_is_that_of_a_plain_computation(spark):
+    rng = random.Random(6)
+    words = {"de": "der und die mit haus nicht auch".split(), "en": "the and of with house not also".split(), "fr": "le et de avec maison pas aussi".split(), "nl": "het en van met huis niet ook".split()}
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words[lang], k=30)), lang) for i in range(12) for lang in words], "doc_id bigint, text string, lang string")
+    pages = []
+    for i in range(60):
+        lang = rng.choice(list(words))
+        text = " ".join(rng.choices(words[lang] + words["en"], k=rng.randint(0, 9)))
+        url = rng.choice([None, f"https://{rng.choice('abc')}.{rng.choice(['x', 'y'])}.{lang}/{rng.choice(['de', 'long'])}/{i}", "http://me@Host.COM:8/en?x"])
+        pages.append((i, url, rng.choice([f'<html lang="{lang}">', "<HTML x=1 LANG=en-GB>", ""]) + f"<p>{text}</p>"))
+    langs, model = langid.train(docs)
+    model = model.astype("float32")
+    rows = []
+    for _, url, page in pages:
+        g = langid.grams(langid.text_of(page))
+        ll = langid.TEMPER * model[:, g].sum(axis=1, dtype="float64")
+        ll = [round(x, 6) for x in ll - ll.max()]
+        p = [math.exp(x) for x in ll]
+        own = [math.floor(x / sum(p) * 1e6 + 0.5) / 1e6 for x in p]
+        host = (re.match(r"[a-z]+://(?:[^/?#@]*@)?([^/?#:]+)", url or "") or [None, ""])[1].lower()
+        folder = (re.match(r"[^:]+://[^/]+/([A-Za-z]{2})(?:[/?#]|$)", url or "") or [None, ""])[1].lower()
+        domain = ".".join(host.split(".")[-2:]) if "." in host else ""
+        rows.append((ll, own, host, domain, (re.search(r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", page) or [None, ""])[1].lower(), f"{host.split('.')[-1]}/{folder}"))
+    got = {r.page_id: (r.lang, r.confidence) for r in langid.identify(spark.createDataFrame(pages, "page_id bigint, url string, html string"), docs).collect()}
+    n = len(langs)
+    for i, (ll, own, *keys) in enumerate(rows):
+        def of(k):
+            return [sum(r[1][j] for r in rows if r[k + 2] == keys[k]) for j in range(n)]
+        c = [sum(r[1][j] for r in rows) for j in range(n)]
+        h, d, m, s = of(0), of(1), of(2), of(3)
+        h, d = [x - y for x, y in zip(h, own, strict=True)], [x - y for x, y in zip(d, own, strict=True)]
+        scores = []
+        for j in range(n):
+            base = (c[j] + 1) / (sum(c) + n)
+            domain = (d[j] + 5 * base) / (sum(d) + 5)
+            score = ll[j] + math.log((h[j] + 5 * domain) / (sum(h) + 5))
+            scores.append(score + sum(math.log((x[j] + 2 * base) / (sum(x) + 2) / base) for x in (m, s)))
+        best = max(scores)
+        assert got[i] == (langs[scores.index(best)], pytest.approx(1 / sum(math.exp(x - best) for x in scores), abs=2e-4)), i
+
+
+def test_language_reads_broken_pages_in_one_pass():
+    for part in ("<script", "<!--", "<style>", "<", "<a ", "<!-- -->", "<script></script>"):
+        assert len(langid.text_of(part * 200_000)) <= 2_000_001
+    assert langid.text_of("a<b>c</b><script>x<y</SCRIPT >d<!-- > -->e&amp;<style>f") == "a c  d e& "
+
+
 # --- HTML
 
 
