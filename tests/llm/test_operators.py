@@ -390,12 +390,60 @@ def test_mixing(docs, clashing, empty):
     assert mixed.columns == clashing.columns and mixed.count() == sum(len(r.shards) for r in got)
 
 
-def test_mixing_tree_splits_quotas_exactly(spark):
-    row = spark.createDataFrame([([40, 7, 0, 53], 100)], "quotas array<bigint>, total bigint")
-    leaves = mixing._split(row, 6, F.col("total"), 1).collect()
-    assert sorted(r.shard for r in leaves) == list(range(6))
-    assert [sum(r.quotas[i] for r in leaves) for i in range(4)] == [40, 7, 0, 53]
-    assert {sum(r.quotas) for r in leaves} <= {16, 17}
+def test_mixing_tree_splits_quotas_exactly(spark, monkeypatch):
+    quotas = [40, 7, 0, 53, 12, 8]
+    row = spark.createDataFrame(list(enumerate(quotas)), "place bigint, quota bigint")
+    for fan in (256, 2):  # a fan of two takes three levels of groups of sources
+        monkeypatch.setattr(mixing, "FAN", fan)
+        leaves = mixing._split(row, 6, 1).collect()
+        assert sorted({r.shard for r in leaves}) == list(range(6))
+        assert [sum(r.quota for r in leaves if r.place == i) for i in range(6)] == quotas
+        assert {sum(r.quota for r in leaves if r.shard == k) for k in range(6)} == {20}
+
+
+def test_mixing_left_halves_are_hypergeometric(spark):
+    n, a, m, trials = 30, 12, 10, 4000
+    lit = lambda x: F.lit(x).cast("long")
+    u = (F.col("id") + 0.5) / trials
+    got = Counter(r[0] for r in spark.range(trials).select(mixing.hypergeometric(lit(n), lit(a), lit(m), u)).collect())
+    for k in range(m + 1):  # uniform numbers in even steps give each value its share of them
+        assert abs(got[k] - trials * math.comb(a, k) * math.comb(n - a, m - k) / math.comb(n, m)) <= 1.01
+    big = spark.range(400).select(mixing.hypergeometric(lit(2 * 10**9), lit(10**9), lit(10**6), (F.col("id") + 0.5) / 400).alias("x")).agg(F.avg("x"), F.stddev("x")).first()
+    assert abs(big[0] - 500_000) < 5 and abs(big[1] - 500) < 15
+    counts = Counter()
+    row = spark.createDataFrame([(0, 3), (1, 5), (2, 4)], "place bigint, quota bigint")
+    for seed in range(60):  # a source's mean share of the left half
+        for r in mixing._split(row, 2, seed).collect():
+            counts[r.place] += r.quota * (r.shard == 0)
+    for place, q in ((0, 3), (1, 5), (2, 4)):
+        assert abs(counts[place] / 60 - q / 2) < 0.5
+
+
+def test_mixing_draws_repeated_rows_apart(spark):
+    rows = [(1, "same ten words stand here again and again they do", "en", "a", 1)] * 600 + [(10 + i, f"row {i} has ten words of its own and no more", "en", "a", 1) for i in range(600)]
+    rows += [(5000 + i, f"other {i} " + "w " * 20, "en", "b", 1) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = mixing.assign(df).collect()
+    assert len(got) == len(rows)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 3 * r["size"]
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 11
+    mixed = Counter((r.doc_id, r.source) for r in mixing.mix(df.withColumn("more", F.rand(3) > 0.5)).collect())
+    want = Counter()
+    for r in got:
+        want[r.doc_id, r.source] += len(r.shards)
+    assert mixed == +want
+
+
+def test_mixing_joins_alike_whatever_the_size_of_its_tables(docs, monkeypatch):
+    key = lambda r: (str(r.doc_id), r["size"], r.taken, str(r.shards))
+    want = sorted(map(key, mixing.assign(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", -1)
+    assert sorted(map(key, mixing.assign(docs).collect())) == want
 
 
 # --- personal data
