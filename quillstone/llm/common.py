@@ -23,31 +23,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session, as in tests, gets one of its own."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="quillstone-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 
 
+def _place(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again.
 
-    This cuts the lineage: a lost executor costs its running tasks only. The files go when the application ends.
+    This cuts the lineage: a lost executor costs its running tasks only. The files go with discard, or when the
+    application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillstone/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    where, files = _place(spark, path)
+    files.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes the files of written tables that nothing still to be computed reads."""
+    for table in tables:
+        path = getattr(table, "_written_at", None)
+        if path:
+            where, files = _place(table.sparkSession, path)
+            files.delete(where, True)
 
 
 def words_of(text: Column) -> Column:
@@ -67,6 +85,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             yield batch.slice(at, step)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of df is named so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def packed(df: DataFrame, **columns: str) -> DataFrame:
     """The columns asked for under names of our own, beside the whole row as the struct _row: no name can clash."""
     return df.select(F.struct("*").alias("_row"), *[F.col(c).alias(n) for n, c in columns.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, fresh_name, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,11 +23,54 @@ def components(edges: DataFrame) -> DataFrame:
         moves.append(move)
         of_a, of_b = move.toDF("a", "ra"), move.toDF("b", "rb")
         moved = left.join(of_a, "a").join(of_b, "b").filter("ra <> rb")
-        left = written(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        fresh = written(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        discard(left)
+        left = fresh
     if not moves:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    found = moves.pop()
-    while moves:
-        step, later = moves.pop(), found.toDF("root", "last")
+    found, rounds = moves[-1], moves[:-1]
+    while rounds:
+        step, later = rounds.pop(), found.toDF("root", "last")
         found = step.join(later, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
-    return written(found, "roots")
+    out = written(found, "roots")
+    discard(left, *moves)
+    return out
+
+
+def classes(docs: DataFrame, links, key: str) -> DataFrame:
+    """(doc_id, key, root, component_id) of docs (doc_id, key), written; links: a function from the distinct keys to edges.
+
+    root tells components apart; component_id is the smallest doc_id of the component, null if none has an id.
+    """
+    low = written(docs.groupBy(key).agg(F.min("doc_id").alias("low")), "distinct")
+    roots = components(links(low))
+    linked = roots.toDF(key, "root").join(low, key)
+    lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
+    of_linked = linked.join(lowest, "root").select(key, "root", "component", F.lit(True).alias("linked"))
+    # written, so that the join below reads plain shuffles, of which a hot key's can be split
+    found = low.join(of_linked, key, "left")
+    of_key = written(found.select(key, F.coalesce("root", key).alias("root"), F.when(F.col("linked"), F.col("component")).otherwise(F.col("low")).alias("component_id")), "classes")
+    out = written(docs.join(of_key, key).select("doc_id", key, "root", "component_id"), "members")
+    discard(low, of_key, roots)
+    return out
+
+
+def one_of_each(df: DataFrame, found: DataFrame, key: str, with_key) -> DataFrame:
+    """One row of df for each component of found (doc_id, key, root): that of the smallest doc_id, nulls last.
+
+    Of rows of one component with the same id, the one with the smallest key stays; of those with the same key, the one
+    whose text and other columns hash lowest, so reruns agree. with_key(df, name) adds the key of each row.
+    """
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", key)).alias("b"))
+    best = written(best.select(F.col("b.doc_id").alias("b_id"), F.col(f"b.{key}").alias("b_key")), "kept")
+    # a row that repeats both is looked at only if there is one
+    rows = found.join(best, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col(key) == F.col("b_key")), "left_semi").count()
+    name, mine = fresh_name(df, "_key"), fresh_name(df, "_hash")
+    keyed = with_key(df, name)
+    same = keyed["doc_id"].cast("long").eqNullSafe(best["b_id"]) & (keyed[name] == best["b_key"])
+    out = keyed.join(best, same, "left_semi")
+    if rows > best.count():
+        out = out.withColumn(mine, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if df.schema[c].dataType.typeName() not in ("map", "variant")]))
+        least = out.groupBy(F.col("doc_id").alias("l_id"), F.col(name).alias("l_key")).agg(F.min(mine).alias("l_hash"))
+        out = out.join(least, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col(name) == F.col("l_key")) & (F.col(mine) == F.col("l_hash")), "left_semi").dropDuplicates(["doc_id", name])
+    return out.select([F.col(f"`{c}`") for c in df.columns])

@@ -13,8 +13,8 @@ of those links come from contraction rounds, each a written table.
 
 A text's words are lower-cased in A-Z; it has the shingles of 3 words, repeats included, or the whole sequence if it
 has fewer words. A null, empty or blank text has no shingle and the fingerprint zero, which links like any other.
-Repeated rows come out repeated; a null doc_id never names a component unless no other id is there. Extra columns
-stay out of the shuffles.
+Repeated rows come out repeated; a null doc_id never names a component unless no other id is there. An empty table has no
+components. Extra columns stay out of the shuffles.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, with_columns, written
-from .components import components
+from .components import classes, one_of_each
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -168,34 +168,18 @@ def near_links(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def cluster(df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, fp, component_id) for each row; component_id is the smallest doc_id reachable over links."""
+    """(doc_id, fp, root, component_id) for each row; component_id is the smallest doc_id reachable over links, root the
+    fingerprint that names the component."""
     docs = written(fingerprints(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"), "fingerprints")
-    distinct = written(docs.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = components(near_links(distinct, threshold)).toDF("fp", "root")
-    linked = roots.join(distinct, "fp")
-    lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
-    of_linked = linked.join(lowest, "root").select("fp", "component")
-    # written, so that the join below reads plain shuffles, of which a hot fingerprint's can be split
-    classes = written(distinct.join(of_linked, "fp", "left").select("fp", F.coalesce("component", "low").alias("component_id")), "components")
-    return docs.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return classes(docs, lambda distinct: near_links(distinct, threshold), "fp")
 
 
 def keep_one(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The documents (doc_id, text, ...) without near copies: of each component, the one with the smallest doc_id.
 
-    Rows that repeat the kept doc_id count as one document. Of a component without any id, one row of the smallest
-    fingerprint stays.
+    Rows are told apart by id and fingerprint, so ids that several documents share lose none and keep no copy.
     """
-    found = written(cluster(df, threshold=threshold), "classes")
-    named = found.filter("doc_id = component_id").select("doc_id").distinct()
-    out = df.join(named, "doc_id", "left_semi")
-    if found.filter("doc_id = component_id").count() > named.count():
-        out = out.dropDuplicates(["doc_id"])
-    bare = found.filter("component_id is null").select("fp").distinct()
-    if not bare.isEmpty():
-        lone = fingerprints(df.filter("doc_id is null"), out="_fingerprint").join(bare.withColumnRenamed("fp", "_fingerprint"), "_fingerprint", "left_semi")
-        out = out.unionByName(lone.dropDuplicates(["_fingerprint"]).drop("_fingerprint"))
-    return out.select(df.columns)
+    return one_of_each(df, cluster(df, threshold=threshold), "fp", lambda d, name: fingerprints(d, out=name))
 
 
 def hex_of(fp):
