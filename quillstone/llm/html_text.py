@@ -1,17 +1,21 @@
 """HTML main text by a tree-structured graphical model.
 
 A page's elements and runs of text are the nodes of a tree. Each is content or not. A node's own potential comes from
-its features (tag, words in its class, id and role, link density, length); a potential between parent and child ties
-labels together, by the child's kind of tag. Sum-product messages pass upward and then downward, and give each node's
-exact marginal. Runs of text whose marginal says content are joined into blocks. Both potentials are trained here, on
-pages that a seeded writer makes with labels, in many layouts.
+its features: its tag, words in its class, id and role, link density, length, sentences, where it stands to the page's
+long texts, whether its text comes again or is the page's title, and words that notices use. A potential between parent
+and child ties labels together, by the child's kind of tag. Sum-product messages pass upward and then downward, and give
+each node's exact marginal. Runs of text whose marginal says content are joined into blocks. Both potentials are trained
+here, once in a driver, on pages that a seeded writer makes with labels, in many layouts: with and without telling class
+names, with misleading ones, and without any.
 
 Block tags and list items begin a new block; inline tags and line breaks don't. Scripts, styles, templates, comments
-and form controls never carry text. Character references are decoded, white space inside a block becomes one space.
+and form controls never carry text; what stands in noscript does. Character references are decoded, white space inside a
+block becomes one space.
 
 A null or empty page has the empty text. Unclosed, stray and deeply nested tags are taken as they come; the work grows
-with the page's length, and no page is cut. Repeated rows give repeated results. Nothing is shuffled, so no key can be
-hot. Extra columns pass through; one named like an added column is replaced.
+with the page's length, as open tags are found by their names, and no page is cut. Repeated rows give repeated results,
+no rows none. Nothing is shuffled, so no key can be hot. Extra columns pass through; one named like an added column is
+replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +24,10 @@ import html
 import math
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +36,12 @@ from pyspark.sql import types as T
 
 from .common import slices, with_columns
 
-TRAIN_PAGES = 600
+TRAIN_PAGES = 1200
 TRAIN_SEED = 7
 
 # Fixed sets of tag names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style template noscript svg iframe object textarea select button title".split())
+RAW = set("script style template svg iframe object textarea select button title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SCOPES = set("article aside body div section main table td th li blockquote header footer nav form figure ul ol dl html".split())
@@ -42,35 +49,81 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SAME_STOP = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "thead": ("table",), "tbody": ("table",)}
 
 # Fixed words of class, id and role values that tell what an element is for.
-AWAY = "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer foot sidebar aside rail widget ad ads advert adverts advertisement sponsor sponsored promo promoted cookie cookies consent notice notices alert gdpr popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments reply replies respond disqus form copyright legal disclaimer pagination pager tags complementary contentinfo skip toolbar outbrain taboola".split()
+AWAY = "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer foot sidebar aside rail widget ad ads advert adverts advertisement sponsor sponsored promo promoted cookie cookies consent notice notices alert gdpr popup modal overlay newsletter subscribe signup login search share sharing social related recommended comment comments reply replies respond response responses discussion feedback disqus form copyright legal disclaimer pagination pager tags complementary contentinfo skip toolbar outbrain taboola".split()
 TOWARD = "article articlebody content contents main post entry story body text page single prose".split()
 
+#: Elements that are seldom an article's.
+MARGINS = set("nav header footer aside form dialog menu".split())
+#: Words that an article's paragraphs may well be marked with, too.
+WEAK = "related notice form share legal tags".split()
+# Fixed words of short texts that are notices, menus or calls.
+NOTICE = re.compile(r"\u00a9|\b(?:copyright|all rights reserved|cookies?|privacy|subscribe|newsletter|sign (?:up|in)|log ?in|advertisement|sponsored|menu|home|share|reply|terms|contact us|read more|skip to)\b", re.IGNORECASE)
+TITLE = re.compile(r"<title[^>]*>([^<]*)", re.IGNORECASE)
+ENDS = re.compile(r"[.!?]")
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.IGNORECASE)
 WORDS = re.compile(r"[A-Za-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "cues", "parent", "text", "link", "order")
+    __slots__ = ("tag", "cues", "parent", "text", "link", "words", "ends", "place", "says", "again", "titled", "inside")
 
     def __init__(self, tag: str, cues: tuple[str, ...], parent: int) -> None:
         self.tag, self.cues, self.parent = tag, cues, parent
-        self.text = self.link = 0
+        self.text = self.link = self.words = self.ends = 0
+        self.place, self.says, self.again, self.titled, self.inside = 3, False, False, False, 0
+
+
+class _Open:
+    """The stack of open nodes, with the depths of each tag."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes, self.stack, self.depths, self.scopes = nodes, [0], {}, [0]
+
+    def push(self, i: int) -> None:
+        tag = self.nodes[i].tag
+        self.depths.setdefault(tag, []).append(len(self.stack))
+        if tag in SCOPES:
+            self.scopes.append(len(self.stack))
+        self.stack.append(i)
+
+    def last(self, tag: str) -> int:
+        """The depth of the innermost open one, or 0."""
+        own = self.depths.get(tag)
+        return own[-1] if own else 0
+
+    def first_above(self, tag: str, depth: int) -> int:
+        """The depth of the outermost open one further in than depth, or 0."""
+        own = self.depths.get(tag, [])
+        at = bisect_right(own, depth)
+        return own[at] if at < len(own) else 0
+
+    def pop_to(self, depth: int) -> bool:
+        """Closes all from a depth on; whether that is the border of a block."""
+        block = False
+        while len(self.stack) > depth:
+            tag = self.nodes[self.stack.pop()].tag
+            self.depths[tag].pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+            block |= tag not in INLINE
+        return block
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The nodes in page order (parents first), and the events: (node, text) for text, (-1, "") for a block's border."""
     nodes = [Node("#root", (), -1)]
-    stack = [0]
+    open_ = _Open(nodes)
     events: list[tuple[int, str]] = []
+    endless: set[str] = set()  # tags that nothing further on closes
     run = -1  # the text node that goes on
     at, size = 0, len(page)
 
     def pop_to(depth: int) -> None:
         nonlocal run
-        if any(nodes[i].tag not in INLINE for i in stack[depth:]):
+        if open_.pop_to(depth):
             events.append((-1, ""))
-        del stack[depth:]
         run = -1
 
     def add_text(raw: str) -> None:
@@ -81,7 +134,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if raw.isspace():
                 events.append((0, raw))
                 return
-            nodes.append(Node("#text", (), stack[-1]))
+            nodes.append(Node("#text", (), open_.stack[-1]))
             run = len(nodes) - 1
         events.append((run, raw))
 
@@ -98,18 +151,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         tag, closing = name.lower(), (m[1] or m[4]) == "/"
         if closing:
-            if tag == "p" or tag not in VOID:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[depth]].tag == tag:
-                        pop_to(depth)
-                        break
-                    if tag in INLINE and nodes[stack[depth]].tag in SCOPES:
-                        break
+            depth = open_.last(tag) if tag not in VOID else 0
+            if depth and not (tag in INLINE and open_.scopes[-1] > depth):
+                pop_to(depth)
             continue
         if tag in RAW:
             attributes = m[3] or ""
             if not attributes.endswith("/") or tag != "svg":
-                end = re.compile(f"</{re.escape(tag)}[^>]*>", re.IGNORECASE).search(page, at)
+                end = None if tag in endless else re.compile(f"</{re.escape(tag)}[^>]*>", re.IGNORECASE).search(page, at)
+                if not end:
+                    endless.add(tag)
                 # an unclosed one of these hides the rest of the page only where a browser reads it as raw text
                 at = end.end() if end else (size if tag in ("script", "style", "textarea", "title", "template", "iframe") else at)
             continue
@@ -120,20 +171,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 events.append((-1, ""))
                 run = -1
             continue
-        if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == "p":
-                    pop_to(depth)
-                    break
-                if nodes[stack[depth]].tag in SCOPES:
-                    break
+        if tag in CLOSES_P and open_.last("p") > open_.scopes[-1]:
+            pop_to(open_.last("p"))
         if tag in SAME:
-            low = 0
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag in SAME_STOP[tag]:
-                    break
-                if nodes[stack[depth]].tag in SAME[tag]:
-                    low = depth
+            stop = max(map(open_.last, SAME_STOP[tag]))
+            low = min((d for d in (open_.first_above(t, stop) for t in SAME[tag]) if d), default=0)
             if low:
                 pop_to(low)
         if tag not in INLINE:
@@ -141,19 +183,40 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         cues: tuple[str, ...] = ()
         if m[3]:
             cues = tuple(w for _, v in ATTRIBUTE.findall(m[3]) for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower()))
-        nodes.append(Node(tag, cues, stack[-1]))
-        stack.append(len(nodes) - 1)
+        nodes.append(Node(tag, cues, open_.stack[-1]))
+        if not ((m[3] or "").endswith("/") and tag in INLINE):
+            open_.push(len(nodes) - 1)
         run = -1
-        if (m[3] or "").endswith("/") and tag in INLINE:
-            stack.pop()
     return nodes, events
 
 
-def measure(nodes: list[Node], events: list[tuple[int, str]]) -> None:
-    """Sums up each node's characters, and those in links."""
+#: A text of so many words, with a sentence's end, is a long one.
+LONG_WORDS = 12
+
+
+def measure(nodes: list[Node], events: list[tuple[int, str]], title: str = "") -> None:
+    """Sums up what the features of each node need: characters, those in links, words, sentences, place and repetition."""
+    said: dict[int, list[str]] = {}
     for i, text in events:
         if i > 0:
-            nodes[i].text += len(text)
+            said.setdefault(i, []).append(text)
+    texts = {i: " ".join("".join(parts).split()) for i, parts in said.items()}
+    times = Counter(texts.values())
+    title = " ".join(html.unescape(title).split())
+    for i, text in texts.items():
+        node = nodes[i]
+        node.text, node.words, node.ends = len(text), text.count(" ") + 1, len(ENDS.findall(text))
+        node.again = times[text] > 1
+        node.titled = bool(title) and node.words > 1 and (text == title or title.startswith(text) or text.startswith(title))
+        node.says = node.words <= 40 and bool(NOTICE.search(text))
+    linked = [False] * len(nodes)
+    for i in range(1, len(nodes)):
+        node, up = nodes[i], nodes[i].parent
+        linked[i] = node.tag == "a" or linked[up]
+        node.inside = 1 if node.tag in ("article", "main") else 2 if node.tag in MARGINS else nodes[up].inside
+    long_ = [i for i in texts if nodes[i].words >= LONG_WORDS and nodes[i].ends and not linked[i]]
+    first, last = (long_[0], long_[-1]) if long_ else (0, 0)
+    from_, to = list(range(len(nodes))), list(range(len(nodes)))  # the nodes that each one spans
     for i in range(len(nodes) - 1, 0, -1):
         node = nodes[i]
         if node.tag == "a":
@@ -161,28 +224,49 @@ def measure(nodes: list[Node], events: list[tuple[int, str]]) -> None:
         up = nodes[node.parent]
         up.text += node.text
         up.link += node.link
+        up.words += node.words
+        up.ends += node.ends
+        up.says |= node.says and up.words <= 80
+        to[node.parent] = max(to[node.parent], to[i])
+        if long_:
+            node.place = 0 if to[i] < first else 2 if from_[i] > last else 1
 
 
-_TAGS = sorted(VOID | INLINE | CLOSES_P | SCOPES | set(SAME) | {"#text", "#root", "html", "body", "head"})
-_AWAY, _TOWARD = set(AWAY), set(TOWARD)
-FEATURES = {name: i for i, name in enumerate([*(f"tag {t}" for t in _TAGS), "tag other", *(f"text in {t}" for t in _TAGS), "text in other", *(f"cue {w}" for w in AWAY + TOWARD), "any away", "any toward", *(f"link {i}" for i in range(4)), *(f"size {i}" for i in range(6))])}
+_TAGS = sorted(VOID | INLINE | CLOSES_P | SCOPES | set(SAME) | {"#text", "#root", "html", "body", "head", "noscript"})
+_AWAY, _TOWARD, _WEAK = set(AWAY), set(TOWARD), set(WEAK)
+_NAMES = [*(f"tag {t}" for t in _TAGS), "tag other", *(f"text in {t}" for t in _TAGS), "text in other", *(f"cue {w}" for w in AWAY + TOWARD), "any away", "any toward", "no cue", *(f"link {i}" for i in range(4)), *(f"size {i}" for i in range(6))]
+_NAMES += [f"{what} {i}" for what in ("text", "node") for i in range(24)] + [f"{what} {i}" for what in ("says", "again", "titled", "long cue", "text inside", "node inside") for i in range(4)]
+FEATURES = {name: i for i, name in enumerate(_NAMES)}
 
 
 def features(nodes: list[Node], i: int) -> list[int]:
     """The places of a node's features."""
     f, node = FEATURES, nodes[i]
     out = [f.get(f"tag {node.tag}", f["tag other"])]
+    away = False
     for w in set(node.cues):
         if w in _AWAY or w in _TOWARD:
             out.append(f[f"cue {w}"])
-    if any(w in _AWAY for w in node.cues):
+            away |= w in _AWAY
+    if away:
         out.append(f["any away"])
+        if node.words >= LONG_WORDS and node.ends and not node.link:  # a paragraph, whatever it is called
+            out.append(f[f"long cue {2 * (node.tag == 'p') + all(w in _WEAK for w in node.cues if w in _AWAY)}"])
     elif any(w in _TOWARD for w in node.cues):
         out.append(f["any toward"])
+    else:
+        out.append(f["no cue"])
     share = node.link / node.text if node.text else 0.0
     out.append(f[f"link {min(3, math.ceil(share * 3))}"])
     out.append(f[f"size {min(5, len(str(node.text)) - 1 if node.text else 0)}"])
-    if node.tag == "#text":
+    long_ = 0 if node.words < 4 else 1 if node.words < LONG_WORDS else 2
+    text = node.tag == "#text"
+    out.append(f[f"{'text' if text else 'node'} {node.place * 6 + long_ * 2 + (node.ends > 0)}"])
+    out.append(f[f"{'text' if text else 'node'} inside {node.inside}"])
+    for what in ("says", "again", "titled"):
+        if getattr(node, what):
+            out.append(f[f"{what} {node.place}"])
+    if text:
         out.append(f.get(f"text in {nodes[node.parent].tag}", f["text in other"]))
     return out
 
@@ -226,58 +310,119 @@ def _pass(pair: list[list[float]], odds: float, down: bool) -> float:
     return _soft(pair[1][1] + odds, pair[1][0]) - _soft(pair[0][1] + odds, pair[0][0])
 
 
-def labelled_page(rng: random.Random) -> str:
-    """A page of a random layout; what is content lies in elements with the attribute data-y="1", the rest in "0"."""
+#: Beginnings of words that a page's invented words are made of; another list makes another language.
+SYLLABLES = "ba be bi da do fe ga ho ju ka la le li ma me mi na no pa po ra re ri sa so ta te ti to va".split()
+NOTICES = ["We use cookies", "All rights reserved", "Subscribe to our newsletter", "Advertisement", "Sponsored", "Privacy", "Log in", "Share", "Home", "Menu", "Terms", "Read more"]
+
+
+def labelled_page(rng: random.Random, syllables: list[str] = SYLLABLES) -> str:
+    """A page of a random layout; what is content lies in elements with the attribute data-y="1", the rest in "0".
+
+    A third of the pages have telling class names, a third others and misleading ones, and a third none at all.
+    """
+    naming, title = rng.choice(["telling", "other", "none"]), ""
 
     def words(a: int, b: int) -> str:
-        return " ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(a, b))).capitalize() + "."
+        return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(a, b))).capitalize()
+
+    def sentences(a: int, b: int) -> str:
+        left, out = rng.randint(a, b), []
+        while left > 0:
+            n = min(left, rng.randint(4, 18))
+            out.append(words(n, n) + rng.choice([".", ".", ".", "!", "?"]))
+            left -= n
+        return " ".join(out)
+
+    def named(cue: str) -> str:
+        if naming == "none" or not cue:
+            return ""
+        if naming == "other":
+            cue = rng.choice([words(1, 1).lower(), words(1, 1).lower(), cue])
+        return f' {rng.choice(["class", "id", "class"])}="{cue}{rng.choice(["", "", "-wrap", "_block", " clearfix", "-1"])}"'
+
+    def box(tag: str, cue: str, inner: str, y: int) -> str:
+        return f'<{tag} data-y="{y}"{named(cue)}>{inner}</{tag}>'
+
+    brief = rng.random() < 0.25  # a page of short texts only
 
     def para() -> str:
-        t = words(*rng.choice([(1, 2), (1, 4), (3, 80), (3, 80), (3, 80), (80, 300)]))
+        t = sentences(*rng.choice([(1, 1), (1, 4), (1, 9)] if brief else [(1, 4), (3, 80), (10, 80), (10, 80), (80, 300)]))
         if rng.random() < 0.25:
-            t += f" <{(w := rng.choice(['b', 'em', 'strong', 'i', 'span', 'code']))}>{words(1, 6)}</{w}> " + words(1, 20)
+            t += f" <{(w := rng.choice(['b', 'em', 'strong', 'i', 'span', 'code']))}>{words(1, 6)}</{w}> " + rng.choice([".", sentences(1, 20)])
         if rng.random() < 0.25:
-            t += f' <a href="/x">{words(1, 5)}</a> ' + words(2, 20)
-        return t
+            t += f' <a href="/x">{words(1, 5)}</a> ' + sentences(2, 20)
+        if rng.random() < 0.06:  # articles speak of such things, too
+            t += f" {words(1, 3)} {rng.choice(NOTICES).lower()} {words(0, 3)}."
+        return rng.choice(NOTICES) + "." if rng.random() < 0.02 else t
 
     def links(tag: str = "ul") -> str:
-        return f"<{tag}>" + "".join(f'<li><a href="/{i}">{words(1, 3)}</a></li>' for i in range(rng.randint(2, 9))) + f"</{tag}>"
+        item = "li" if tag == "ul" else rng.choice(["div", "span", "p"])
+        ends = rng.choice([("",), ("",), ("", ".", ",", "?")])
+        return f"<{tag}>" + "".join(f"<{item}><a href='/{i}'>{words(1, 3)}{rng.choice(ends)}</a></{item}>" for i in range(rng.randint(2, 9))) + f"</{tag}>"
 
-    def box(tag: str, cue: str, inner: str, y: int) -> str:
-        how = rng.choice(["class", "id", "role"]) if cue else ""
-        extra = rng.choice(["", "", "-wrap", "_block", " clearfix", "-1"])
-        return f'<{tag} data-y="{y}"' + (f' {how}="{cue}{extra}"' if cue else "") + f">{inner}</{tag}>"
+    def lines() -> str:
+        """A menu without links."""
+        item = rng.choice(["div", "span", "li", "p"])
+        return "".join(f"<{item}>{rng.choice([words(1, 2), words(1, 2), rng.choice(NOTICES)])}</{item}>" for _ in range(rng.randint(1, 6)))
 
-    def away() -> str:
-        tag = rng.choice(["div", "div", "section", "aside"])
+    def notice() -> str:
+        return rng.choice([f"{rng.choice(NOTICES)} {words(1, 12)}.", f"&copy; {words(1, 6)} 20{rng.randint(10, 30)}", f"Copyright {words(1, 6)}", rng.choice(NOTICES), f"<p>{rng.choice(NOTICES)}. {sentences(2, 16)}</p>"])
+
+    def talk() -> str:
+        """What readers write."""
+        return "".join(f"<div><b>{words(1, 2)}</b><p>{sentences(3, 40)}</p>{rng.choice(['', '<span>Reply</span>'])}</div>" for _ in range(rng.randint(1, 6)))
+
+    def away(after: bool = False) -> str:
+        tag = rng.choice(["div", "div", "section", "aside"]) if naming != "none" else "div"
         cue = rng.choice(AWAY)
-        if rng.random() < 0.2:
-            return box(rng.choice(["p", "span"]), cue, words(1, 20), 0)
-        inner = rng.choice([lambda: words(2, 30), links, lambda: f"<p>{words(3, 40)}</p>", lambda: f"<h3>{words(1, 4)}</h3>" + links(), lambda: "".join(f"<div><b>{words(1, 2)}</b><p>{words(4, 60)}</p></div>" for _ in range(rng.randint(1, 5)))])()
-        return box(tag, cue, inner, 0)
+        if rng.random() < 0.06:  # crumbs and adverts that repeat the title
+            return box(tag, cue, rng.choice([title, f'<a href="/">{words(1, 1)}</a> &gt; {title}', f"<p>{title}</p>", f'<ul><li><a href="/t">{title}</a></li></ul>']), 0)
+        if naming == "telling":
+            if rng.random() < 0.15:
+                return box(rng.choice(["p", "span"]), cue, rng.choice([words(1, 8), sentences(2, 10)]), 0)
+            inner = rng.choice([lambda: sentences(2, 30), links, lambda: f"<p>{sentences(3, 40)}</p>", lambda: f"<h3>{words(1, 4)}</h3>" + links(), lines, notice] + [talk] * 2)()
+            return box(tag, rng.choice(["comments", "responses", "reader responses", "discussion", cue]) if after and rng.random() < 0.3 else cue, inner, 0)
+        return box(tag, cue, rng.choice([links, lambda: links("div"), lines, notice, notice, lambda: f"<h3>{words(1, 4)}</h3>" + links()])(), 0)
 
     def plain_away() -> str:
+        if naming == "none" and rng.random() < 0.7:
+            return away()
         tag = rng.choice(["nav", "footer", "header", "aside", "form", "nav", "footer", "dialog", "menu"])
-        inner = {"nav": links, "form": lambda: f"<label>{words(1, 3)}</label><input><p>{words(1, 9)}</p>", "menu": links}.get(tag, lambda: rng.choice([words(2, 30), f"<p>{words(2, 30)}</p>", links(), f"<h2>{words(1, 4)}</h2>{links()}", f"&copy; {words(2, 12)}"]))()
+        inner = {"nav": links, "form": lambda: f"<label>{words(1, 3)}</label><input><p>{sentences(1, 9)}</p>", "menu": links}.get(tag, lambda: rng.choice([sentences(2, 30), f"<p>{sentences(2, 30)}</p>", links(), lines(), f"<h2>{words(1, 4)}</h2>{links()}", notice()]))()
         return box(tag, rng.choice(["", "", rng.choice(AWAY)]), inner, 0)
 
-    def content() -> str:
-        parts = [f"<h1>{words(1, 10)}</h1>"] if rng.random() < 0.8 else []
-        for _ in range(rng.choice([0, 1, 2, 4, 8, 16])):
-            parts.append(rng.choice([lambda: f"<p>{para()}</p>"] * 6 + [lambda: f"<h2>{words(1, 6)}</h2>", lambda: "<ul>" + "".join(f"<li>{para()}</li>" for _ in range(3)) + "</ul>", lambda: f"<blockquote><p>{para()}</p></blockquote>", lambda: f"<table><tr><td>{words(1, 4)}</td><td>{words(1, 9)}</td></tr></table>", lambda: f"<div><p>{para()}</p></div>", lambda: f"<div>{para()}</div>", lambda: f"<pre>{words(2, 30)}</pre>", lambda: f"<section><h3>{words(1, 4)}</h3><p>{para()}</p></section>", lambda: f"<figure><figcaption>{words(2, 12)}</figcaption></figure>", lambda: f"<p><b>{para()}<br>"])())
+    def content(title: str) -> str:
+        head = rng.choice(["h1", "h1", "h1", "h2", "div"])
+        parts = [f"<{head}>{title}</{head}>"] if rng.random() < 0.8 else []
+        for _ in range(rng.choice([1, 1, 2, 4, 8, 16])):
+            misleading = f' class="{rng.choice(WEAK)}"' if rng.random() < 0.06 else ""
+            some = [lambda m=misleading: f"<p{m}>{sentences(20, 90) if m else para()}</p>"] * 6
+            some += [lambda: f"<h2>{words(1, 6)}</h2>", lambda: "<ul>" + "".join(f"<li>{rng.choice([para(), words(1, 4)])}</li>" for _ in range(rng.randint(2, 5))) + "</ul>", lambda: f"<blockquote><p>{para()}</p></blockquote>", lambda: f"<table><tr><td>{words(1, 4)}</td><td>{words(1, 9)}</td></tr></table>", lambda: f"<div><p>{para()}</p></div>", lambda: f"<div>{para()}</div>", lambda: f"<pre>{words(2, 30)}</pre>"]
+            some += [lambda: f"<section><h3>{words(1, 4)}</h3><p>{para()}</p></section>", lambda: f"<figure><figcaption>{words(2, 12)}</figcaption></figure>", lambda: f"<p><b>{para()}<br>", lambda: f"<noscript><p>{para()}</p></noscript>", lambda: f"<noscript>{para()}</noscript>"]
+            parts.append(rng.choice(some)())
             if rng.random() < 0.12:
                 parts.append(rng.choice([away, plain_away])())
         return "".join(parts)
 
-    tag = rng.choice(["article", "article", "article", "main", "div", "div", "section"])
+    title = words(2, 10)
+    if rng.random() < 0.12:  # nothing but an article, maybe deep in plain frames
+        brief, n = rng.random() < 0.7, rng.randint(0, 12)
+        only = box(rng.choice(["article", "article", "main"]), "", rng.choice([f"<p>{para()}</p>", f"<p>{words(1, 2)}</p>", content(title)]), 1)
+        return "<html><head></head><body>" + '<div data-y="2">' * n + only + "</div>" * n + "</body></html>"
+    tag = rng.choice(["article", "article", "article", "main", "div", "div", "section"]) if naming != "none" else rng.choice(["article", "div", "div", "main"])
     cue = rng.choice(["", rng.choice(TOWARD)]) if tag in ("article", "main") else rng.choice(TOWARD)
-    main = box(tag, cue, content(), 1)
+    main = box(tag, cue, content(title), 1)
     for _ in range(rng.choice([0, 0, 1, 2])):
-        main = box(rng.choice(["div", "main", "section"]), rng.choice(["", "", "container", "wrapper", "main", "content", "page"]), rng.choice(["", away()]) + main + rng.choice(["", away(), plain_away()]), 2)
+        main = box(rng.choice(["div", "main", "section"]), rng.choice(["", "", "container", "wrapper", "main", "content", "page"]), rng.choice(["", away()]) + main + rng.choice(["", away(True), plain_away()]), 2)
     before = "".join(rng.choice([away, plain_away])() for _ in range(rng.randint(0, 3)))
-    after = "".join(rng.choice([away, plain_away])() for _ in range(rng.randint(0, 4)))
-    stray = rng.choice(["", "", "", words(2, 6)])
-    return f"<!DOCTYPE html><html><head><title>{words(1, 4)}</title></head><body>{stray}{before}{main}{after}</body></html>"
+    after = "".join(rng.choice([lambda: away(True), plain_away])() for _ in range(rng.randint(0, 4)))
+    stray = rng.choice(["", "", "", words(2, 6), f"<noscript>{words(3, 9)}</noscript>" if rng.random() < 0.5 else ""])
+    return f"<!DOCTYPE html><html><head><title>{rng.choice([title, title, words(1, 4), title + ' | ' + words(1, 2)])}</title></head><body>{stray}{before}{main}{after}</body></html>"
+
+
+def title_of(page: str) -> str:
+    m = TITLE.search(page)
+    return m[1] if m else ""
 
 
 def _labels(page: str) -> tuple[list[Node], list[int]]:
@@ -287,7 +432,7 @@ def _labels(page: str) -> tuple[list[Node], list[int]]:
     """
     marks = [m[1] for m in re.finditer(r"<[a-z0-9]+(?: data-y=\"([012])\")?", page.split("<body>", 1)[1])]
     nodes, events = parse(page)
-    measure(nodes, events)
+    measure(nodes, events, title_of(page))
     label: list[int] = []
     for i, node in enumerate(nodes):
         up = label[node.parent] if i else 2
@@ -299,6 +444,7 @@ def _labels(page: str) -> tuple[list[Node], list[int]]:
     return nodes, [int(x > 0) for x in label]
 
 
+@lru_cache(maxsize=4)
 def train(pages: int = TRAIN_PAGES, seed: int = TRAIN_SEED) -> TreeModel:
     """Trains on so many labelled pages; the same model for the same arguments."""
     rng = random.Random(seed)
@@ -360,7 +506,7 @@ def extract_page(page: str | None, model: TreeModel) -> str:
     if not page:
         return ""
     nodes, events = parse(page)
-    measure(nodes, events)
+    measure(nodes, events, title_of(page))
     content = [p > 0.5 for p in model.marginals(nodes)]
     blocks, parts = [], []
     for i, text in [*events, (-1, "")]:
