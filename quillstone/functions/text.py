@@ -97,3 +97,25 @@ def lexemes(text: Column) -> Column:
 def sampled(key: Column, rate: int) -> Column:
     """Whether a row is in a deterministic sample of one in `rate`, by the hash of its key."""
     return F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("long") % rate == 0
+
+
+#: The kinds of fields that an evaluator compares.
+FIELD_KINDS = ("date", "number", "name", "category", "contains", "text")
+
+
+def fields_agree(kind: Column, got: Column, want: Column, aliases: dict[str, str]) -> Column:
+    """Whether a field that was read agrees with what was wanted; one that is missing or no value of its kind doesn't."""
+    number = lambda c: F.regexp_extract(c, r"-?\d+", 0).try_cast("bigint")
+    bag = lambda c: F.array_sort(F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != ""))
+    table = F.create_map(*[F.lit(s) for kv in aliases.items() for s in kv])
+    plain = lambda c: F.lower(F.trim(c))
+    code = lambda c: F.coalesce(F.try_element_at(table, plain(c)), plain(c))
+    same = (
+        F.when(kind == "date", date_of(got) == date_of(want))
+        .when(kind == "number", number(got) == number(want))
+        .when(kind == "name", bag(got) == bag(want))
+        .when(kind == "category", code(got) == code(want))
+        .when(kind == "contains", F.contains(fold_quote(got), fold_quote(want)))
+        .when(kind == "text", fold_quote(got) == fold_quote(want))
+    )
+    return F.coalesce(same, F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as x
+from ..operators import quotes
 from ..operators import retrieval as r
 from ..operators import temporal as t
 from ..sources import views as v
@@ -176,11 +177,9 @@ def f25(spark, sf_dir):
 def f30(spark, sf_dir):
     """The pool's three best by a second score, and the first of each branch, whatever that score says."""
     c = v.table(spark, sf_dir, "embeddings").select("label", "vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate("abs")])
-    by = lambda n: F.row_number().over(Window.partitionBy("label").orderBy(F.desc(n), "vec_id"))
-    ranked = c.withColumns({"ra": by("a"), "rb": by("b")})
-    best = ranked.filter("ra <= 20").withColumn("rs", by("s")).filter("rs <= 3")
-    guard = ranked.filter("ra = 1 or rb = 1")
-    return best.select("label", "vec_id").union(guard.select("label", "vec_id")).distinct()
+    best = r.top(r.top(c, 20, "vec_id", by="a", group="label").drop("rank"), 3, "vec_id", by="s", group="label")  # each keeps its best before anything moves
+    guard = [r.top(c, 1, "vec_id", by=n, group="label").select("label", "vec_id") for n in "ab"]
+    return best.select("label", "vec_id").union(guard[0]).union(guard[1]).distinct()
 
 
 @register("f33_abbreviations", "SELECT abbr, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[ \\n]([A-Z][a-z]{3,}) ([a-z])', 1)) AS word, unnest(regexp_extract_all(text, '[ \\n]([A-Z][a-z]{3,}) ([a-z])', 2)) AS next FROM documents) CROSS JOIN LATERAL (SELECT substring(word, 1, 1) || upper(next) AS abbr) GROUP BY abbr")
@@ -192,13 +191,12 @@ def f33(spark, sf_dir):
     return found.groupBy(F.concat(F.substring("p.w", 1, 1), F.upper("p.n")).alias("abbr")).agg(F.count("*").alias("n"))
 
 
-@register("f35_named_act_absent", "SELECT item_id, NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, substring(b.text, 1, 40))) AS absent FROM benchmark b")
+@register("f35_named_act_absent", "SELECT item_id, NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.title)) AS absent FROM (SELECT item_id, regexp_extract(text, '^[^.!?]+') AS title FROM benchmark) b")
 def f35(spark, sf_dir):
-    """Whether a title that a question names stands in no document: documents meet titles by their first two words."""
-    b = v.table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 40).alias("title")).withColumn("key", F.element_at(F.split("title", " "), 2))
-    d = v.table(spark, sf_dir, "documents").select("text", F.explode(F.array_distinct(F.split("text", r"[ \n]"))).alias("key"))
-    there = d.join(b, "key").filter(F.contains("text", F.col("title"))).select("item_id").distinct().withColumn("there", F.lit(True))
-    return b.join(there, "item_id", "left").select("item_id", F.col("there").isNull().alias("absent"))
+    """Whether the title that a question names, its first sentence, stands in no document."""
+    b = v.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.regexp_extract("text", r"^[^.!?]+", 0).alias("quote"))
+    there = quotes.holders(b, v.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("query_id").distinct().withColumn("there", F.lit(True))
+    return b.join(there, "query_id", "left").select(F.col("query_id").alias("item_id"), F.col("there").isNull().alias("absent"))
 
 
 @register("f43_cross_references", "WITH u AS (SELECT conv_id, turn, text, CAST(length(text) % 4 AS BIGINT) AS refers FROM conversations) SELECT a.conv_id, a.turn, min(b.turn) AS target FROM u a LEFT JOIN u b ON b.conv_id = a.conv_id AND b.turn = a.refers AND b.turn <> a.turn GROUP BY a.conv_id, a.turn")
@@ -247,13 +245,9 @@ def s14(spark, sf_dir):
 @register("s12_truth_by_fingerprint", "SELECT item_id, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids, count(*) AS n FROM (SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)) GROUP BY item_id")
 def s12(spark, sf_dir):
     """The documents that hold each truth's fingerprint, found by the verbatim search."""
-    from .registry import queries
-
-    found = queries()["f31_verbatim_quotes"](spark, sf_dir)
-    b = v.table(spark, sf_dir, "benchmark")
-    d = v.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
-    exact = found.join(b, "item_id").join(d, "doc_id").filter(F.contains("body", F.col("text")))
-    return exact.groupBy("item_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda i: i.cast("string")), ",").alias("doc_ids"), F.count("*").alias("n"))
+    b = v.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("quote"))
+    exact = quotes.holders(b, v.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return exact.groupBy(F.col("query_id").alias("item_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda i: i.cast("string")), ",").alias("doc_ids"), F.count("*").alias("n"))
 
 
 @register("d02_question_dates", "SELECT conv_id, turn, CASE WHEN turn % 4 = 0 THEN DATE '2024-05-01' WHEN turn % 4 = 1 THEN DATE '2024-06-02' END AS day FROM conversations")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import vector
+from ..functions import text as x
 from ..operators import retrieval as r
 from ..operators import segment
 from ..sources import views as v
@@ -12,7 +12,7 @@ from .registry import register
 
 WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\pL\\pN]+'), lambda w: length(w) > 1)"
 INDEX = f"words AS (SELECT doc_id, {WORDS} AS w FROM documents), idx AS (SELECT term, doc_id, n AS length, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM words) GROUP BY term, doc_id, n)"
-ASKED = f"q AS (SELECT item_id AS query_id, unnest(list_distinct({WORDS})) AS term FROM (SELECT item_id, substring(text, 1, 120) AS text FROM benchmark))"
+ASKED = f"q AS (SELECT item_id AS query_id, unnest(list_distinct({WORDS})) AS term FROM benchmark)"
 BM25 = """
 stats AS (SELECT count(*) AS n, sum(len(w)) / count(*)::DOUBLE AS mean FROM words),
 freq AS (SELECT term, count(*) AS df FROM idx GROUP BY term),
@@ -21,15 +21,16 @@ bm AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) *
 
 
 def asked(spark, sf_dir):
-    return v.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 120).alias("text"))
+    return v.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def lexical(spark, sf_dir):
-    d = v.table(spark, sf_dir, "documents").select("doc_id", "text")
-    index = r.inverted_index(d, "doc_id")
-    lengths = d.select(F.size(r.lexemes(F.col("text"))).alias("n"))
-    stats = lengths.agg(F.count("*").alias("n"), (F.sum("n") / F.count("*")).alias("mean"))
-    return r.bm25(index, asked(spark, sf_dir), "doc_id", stats)
+def normative(spark, sf_dir):
+    """The procedural scope: normative documents in force."""
+    return v.registry(spark, sf_dir).filter("domain = 'normative' and validity = 'current'").select(F.col("id").alias("doc_id"), "type", "text")
+
+
+NORMATIVE = "scope AS (SELECT id AS doc_id, type, text FROM registry WHERE domain = 'normative' AND validity = 'current')"
+SCOPED = INDEX.replace("FROM documents", "FROM scope")
 
 
 @register("f22_inverted_index_terms", f"WITH {INDEX} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS n FROM idx GROUP BY term")
@@ -39,14 +40,40 @@ def f22_index(spark, sf_dir):
 
 @register("f22_bm25_top10", f"WITH {INDEX}, {ASKED}, {BM25} SELECT query_id, doc_id, round(score, 4) AS score, matched FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm) WHERE rank <= 10")
 def f22(spark, sf_dir):
-    return r.top(lexical(spark, sf_dir), 10, "doc_id").select("query_id", "doc_id", F.round("score", 4).alias("score"), "matched")
-
-
-@register("a19_normative_search", f"WITH {INDEX}, {ASKED}, {BM25} SELECT query_id, source, round(score, 4) AS score, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, source) AS rank FROM (SELECT query_id, source, max(score) AS score, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM bm JOIN documents USING (doc_id) WHERE doc_id % 4 = 0 GROUP BY query_id, source)) WHERE rank <= 3")
+    q = asked(spark, sf_dir)
+    scored = r.bm25(r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id"), q, "doc_id")
+    return r.top(scored, 10, "doc_id").select("query_id", "doc_id", F.round("score", 4).alias("score"), "matched")
+
+
+@register("f22_any_term_rank", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, """
+size AS (SELECT query_id, count(*) AS size FROM q GROUP BY query_id),
+found AS (SELECT query_id, doc_id, round(sum(0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE) / any_value(size), 6) AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
+best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM found WHERE score >= 0.02),
+body AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS w FROM scope),
+spots AS (SELECT query_id, doc_id, w, list_position(list_transform(w, lambda x: list_has_any(regexp_split_to_array(lower(x), '[^\\pL\\pN]+'), terms)), true) AS i FROM best JOIN (SELECT query_id, list(term) AS terms FROM q GROUP BY query_id) USING (query_id) JOIN body USING (doc_id) WHERE rank <= 70)
+""", body="SELECT query_id, doc_id, round(score, 4) AS score, array_to_string(w[greatest(i - 5, 1):greatest(i - 5, 1) + 14], ' ') AS headline FROM best JOIN spots USING (query_id, doc_id)"))
+def f22_any(spark, sf_dir):
+    """Full-text search within the procedural scope: any term, ranks of 0.02 or more, 70 a question, a headline of 15 words."""
+    q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
+    ranked = r.any_term_rank(r.postings(docs, q, "doc_id"), q, "doc_id").filter("score >= 0.02")
+    best = r.top(ranked, 70, "doc_id").select("query_id", "doc_id", "score")
+    terms = q.select("query_id", F.array_distinct(x.lexemes(F.col("text"))).alias("terms"))
+    body = docs.select("doc_id", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
+    hits = best.join(terms, "query_id").join(body, "doc_id")
+    hit = F.array_position(F.transform("w", lambda w: F.arrays_overlap(F.split(F.lower(w), r"[^\p{L}\p{N}]+"), "terms")), True)
+    hits = hits.withColumn("_from", F.greatest(hit - 5, F.lit(1)).cast("int"))
+    return hits.select("query_id", "doc_id", F.round("score", 4).alias("score"), F.array_join(F.slice("w", F.col("_from"), F.lit(15)), " ").alias("headline"))
+
+
+@register("a19_normative_search", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, BM25.strip(), body="SELECT query_id, type AS source, round(score, 4) AS score, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, type) AS rank FROM (SELECT query_id, type, max(score) AS score, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM bm JOIN scope USING (doc_id) GROUP BY query_id, type)) WHERE rank <= 3"))
 def a19(spark, sf_dir):
-    """The three best sources of normative documents for each question, with the best document; the filter is below the ranking."""
-    normative = v.table(spark, sf_dir, "documents").filter("doc_id % 4 = 0").select("doc_id", "source")
-    by_source = lexical(spark, sf_dir).join(normative, "doc_id").groupBy("query_id", "source").agg(F.max("score").alias("score"), F.min_by("doc_id", F.struct(-F.col("score"), F.col("doc_id"))).alias("doc_id"))
+    """The three best sources of normative documents in force for each question, with the best document.
+
+    The filter is inside the search: only such documents are indexed, counted and ranked.
+    """
+    q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
+    scored = r.bm25(r.postings(docs, q, "doc_id"), q, "doc_id").join(docs.select("doc_id", F.col("type").alias("source")), "doc_id")
+    by_source = scored.groupBy("query_id", "source").agg(F.max("score").alias("score"), F.min_by("doc_id", F.struct(-F.col("score"), F.col("doc_id"))).alias("doc_id"))
     return r.top(by_source, 3, "source").select("query_id", "source", F.round("score", 4).alias("score"), "doc_id")
 
 
@@ -65,16 +92,14 @@ def vectors(spark, sf_dir):
 @register("j13_nearest_vectors", f"WITH {NEAR} SELECT query_id, vec_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near) WHERE rank <= 10")
 def j13(spark, sf_dir):
     e, q = vectors(spark, sf_dir)
-    found = r.nearest(q, e, "vec_id", 11).filter("vec_id <> query_id")
-    return r.top(found, 10, "vec_id").select("query_id", "vec_id", F.round("score", 4).alias("score"))
+    return r.nearest(q, e, "vec_id", 10, but_itself=True).select("query_id", "vec_id", F.round("score", 4).alias("score"))
 
 
 @register("f36_nearest_example_router", f"WITH {NEAR} SELECT query_id, CASE WHEN score >= 0.5 THEN label END AS label, round(score, 4) AS score FROM (SELECT query_id, label, max(score) AS score, row_number() OVER (PARTITION BY query_id ORDER BY max(score) DESC, label) AS rank FROM near GROUP BY query_id, label) WHERE rank = 1")
 def f36(spark, sf_dir):
     """The label of the nearest example, if it is near enough."""
     e, q = vectors(spark, sf_dir)
-    pairs = e.crossJoin(F.broadcast(q.select("query_id", F.col("embedding").alias("q")))).filter("vec_id <> query_id")  # a stated query set
-    by_label = pairs.groupBy("query_id", "label").agg(F.max(F.round(vector.cosine("embedding", "q"), 6)).alias("score"))
+    by_label = r.cosines(q, e, "vec_id", "label").filter("vec_id <> query_id").groupBy("query_id", "label").agg(F.max("score").alias("score"))
     return r.top(by_label, 1, "label").select("query_id", F.when(F.col("score") >= 0.5, F.col("label")).alias("label"), F.round("score", 4).alias("score"))
 
 
@@ -83,10 +108,9 @@ BRANCHES = f"{NEAR}, a AS (SELECT query_id, vec_id, row_number() OVER (PARTITION
 
 def branches(spark, sf_dir):
     e, q = vectors(spark, sf_dir)
-    pairs = r.nearest(q, e, "vec_id", 1 << 30).filter("vec_id <> query_id").join(e.select("vec_id", "label"), "vec_id")
-    one = r.top(pairs.drop("rank"), 70, "vec_id")
-    far = pairs.drop("rank").withColumn("far", -F.abs(F.col("label") - F.expr("query_id div 100 % 10")))
-    return [one, r.top(far, 70, "vec_id", by="far")]
+    far = -F.abs(F.col("label") - F.expr("query_id div 100 % 10"))
+    labelled = r.compared(q.select("query_id"), e.select("vec_id", "label"), lambda pairs: pairs.filter("vec_id <> query_id").select("query_id", "vec_id", far.alias("far")))
+    return [r.nearest(q, e, "vec_id", 70, but_itself=True), r.top(labelled, 70, "vec_id", by="far")]  # each keeps 70 before anything moves
 
 
 @register("f24_rrf", "WITH " + BRANCHES.format(wa=1, wb=1, k=60) + " SELECT query_id, vec_id, round(rrf, 6) AS rrf, sources FROM fused")
@@ -127,7 +151,7 @@ def f28(spark, sf_dir):
 @register("a43_hit_at_k", f"WITH {NEAR}, ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near), first AS (SELECT r.query_id, min(rank) FILTER (WHERE r.label = q.label) AS hit FROM ranked r JOIN embeddings q ON q.vec_id = r.query_id WHERE rank <= 10 GROUP BY r.query_id) SELECT count(*) AS n, count(*) FILTER (WHERE hit <= 1) AS at1, count(*) FILTER (WHERE hit <= 5) AS at5, count(*) FILTER (WHERE hit IS NULL) AS missed, round(avg(hit), 6) AS mean_rank FROM first")
 def a43(spark, sf_dir):
     e, q = vectors(spark, sf_dir)
-    found = r.top(r.nearest(q, e, "vec_id", 11).filter("vec_id <> query_id").drop("rank"), 10, "vec_id").join(e.select("vec_id", "label"), "vec_id")
+    found = r.nearest(q, e, "vec_id", 10, but_itself=True).join(e.select("vec_id", "label"), "vec_id")
     truth = e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("truth"))
     first = found.join(truth, "query_id").groupBy("query_id").agg(F.min(F.when(F.col("label") == F.col("truth"), F.col("rank"))).alias("hit"))
     return first.agg(F.count("*").alias("n"), F.count_if(F.col("hit") <= 1).alias("at1"), F.count_if(F.col("hit") <= 5).alias("at5"), F.count_if(F.col("hit").isNull()).alias("missed"), F.round(F.avg("hit"), 6).alias("mean_rank"))
@@ -136,6 +160,6 @@ def a43(spark, sf_dir):
 @register("a42_separability", f"WITH {NEAR}, best AS (SELECT query_id, max(score) AS s FROM near GROUP BY query_id), c AS (SELECT query_id // 100 % 2 = 0 AS answerable, s FROM best) SELECT round(min(s) FILTER (WHERE answerable), 6) AS low, round(max(s) FILTER (WHERE NOT answerable), 6) AS high, round(min(s) FILTER (WHERE answerable) - max(s) FILTER (WHERE NOT answerable), 6) AS gap, round(median(s) FILTER (WHERE answerable), 6) AS mid FROM c")
 def a42(spark, sf_dir):
     e, q = vectors(spark, sf_dir)
-    best = r.nearest(q, e, "vec_id", 11).filter("vec_id <> query_id").groupBy("query_id").agg(F.max("score").alias("s"))
+    best = r.cosines(q, e, "vec_id").filter("vec_id <> query_id").groupBy("query_id").agg(F.max("score").alias("s"))
     yes, no = F.when(F.expr("query_id div 100 % 2 = 0"), F.col("s")), F.when(F.expr("query_id div 100 % 2 <> 0"), F.col("s"))
     return best.agg(F.round(F.min(yes), 6).alias("low"), F.round(F.max(no), 6).alias("high"), F.round(F.min(yes) - F.max(no), 6).alias("gap"), F.round(F.median(yes), 6).alias("mid"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as x
-from ..operators import similarity
+from ..operators import quotes, similarity
 from ..sources import views as v
 from .registry import register
 
@@ -33,10 +33,9 @@ def dated():
     return F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("on "), F.date_format(d, "yyyy-MM-dd"), F.lit("."))).when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("on "), F.date_format(d, "d.M.yyyy"))).when(F.col("o_orderkey") % 5 == 2, "since 31.02.2001").when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("to "), F.date_format(d, "d.M.yy"))).otherwise("never")
 
 
-@register("f04_date_search", f"SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) WHEN 3 THEN CAST(replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '19', '20') AS DATE) END AS day, {DATED} LIKE 'since%' AS impossible FROM orders WHERE year(o_orderdate) < 2000 AND month(o_orderdate) <> 2 AND day(o_orderdate) <> 19")
+@register("f04_date_search", f"SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderdate AS DATE) WHEN 1 THEN CAST(o_orderdate AS DATE) WHEN 3 THEN try_cast('20' || strftime(o_orderdate, '%y-%m-%d') AS DATE) END AS day, {DATED} LIKE 'since%' AS impossible FROM orders")
 def f04(spark, sf_dir):
-    o = v.table(spark, sf_dir, "orders").filter((F.year("o_orderdate") < 2000) & (F.month("o_orderdate") != 2) & (F.dayofmonth("o_orderdate") != 19))
-    return o.select("o_orderkey", x.date_of(dated()).alias("day"), x.impossible_date(dated()).alias("impossible"))
+    return v.table(spark, sf_dir, "orders").select("o_orderkey", x.date_of(dated()).alias("day"), x.impossible_date(dated()).alias("impossible"))
 
 
 # Number words.
@@ -103,19 +102,9 @@ def f19(spark, sf_dir):
 
 @register("f31_verbatim_quotes", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(lower(regexp_replace(d.text, '\\s+', ' ', 'g')), trim(lower(regexp_replace(b.text, '\\s+', ' ', 'g'))))")
 def f31(spark, sf_dir):
-    """Which benchmark passages stand verbatim in which documents.
-
-    A passage and a document that holds it share all 5-word runs, so documents meet passages by the hash of a passage's
-    first run, and only those pairs are compared.
-    """
-    words = lambda c: F.split(x.fold_quote(c), " ")
-    run = lambda w, i: F.concat_ws(" ", F.slice(w, i, 5))
-    b = v.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote")).withColumn("key", run(words(F.col("quote")), F.lit(2)))
-    d = docs(spark, sf_dir).select("doc_id", "text").withColumn("w", words(F.col("text")))
-    keys = d.select("doc_id", F.explode(F.array_distinct(F.transform("w", lambda _, i: run(F.col("w"), i + 1)))).alias("key"))
-    near = keys.join(b.select("item_id", "key"), "key").select("item_id", "doc_id").distinct()
-    both = near.join(b.select("item_id", "quote"), "item_id").join(d.select("doc_id", "text"), "doc_id")
-    return both.filter(x.quoted_verbatim(F.col("quote"), F.col("text"))).select("item_id", "doc_id")
+    """Which benchmark passages stand verbatim in which documents, apostrophes, dashes, case and white space aside."""
+    b = v.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("quote"))
+    return quotes.holders(b, docs(spark, sf_dir).select("doc_id", "text"), "doc_id", x.fold_quote).select(F.col("query_id").alias("item_id"), "doc_id")
 
 
 LEX = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\\pL\\pN]+'), lambda w: length(w) > 1))"
@@ -160,20 +149,42 @@ def p17(spark, sf_dir):
     return r.filter("domain = 'normative' and validity = 'current'").select(F.lit("procedural").alias("scope"), "id").unionAll(r.filter("domain in ('leave', 'deployment')").select(F.lit("factual").alias("scope"), "id"))
 
 
-@register("f38_evaluator_compare", "SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'date' WHEN 1 THEN 'number' ELSE 'name' END AS kind, true AS equal FROM lineitem")
+@register("f38_evaluator_compare", """
+WITH p AS (SELECT o_orderkey, o_orderkey % 6 AS k, o_orderdate, c_name, c_mktsegment, o_orderkey // 6 AS j FROM orders JOIN customer ON c_custkey = o_custkey)
+SELECT o_orderkey, ['date', 'number', 'name', 'category', 'contains', 'text'][k + 1] AS kind, CASE k
+  WHEN 0 THEN j % 3 = 0 AND j % 5 <> 0 WHEN 1 THEN j % 50 = j % 75 WHEN 2 THEN j % 4 <> 0
+  WHEN 3 THEN (j % 3 = 0 AND c_mktsegment = 'MACHINERY') OR (j % 3 = 1 AND c_mktsegment = 'BUILDING') OR (j % 3 = 2 AND c_mktsegment = 'HOUSEHOLD')
+  WHEN 4 THEN right(c_name, 1) = CAST(j % 10 AS VARCHAR) OR contains(c_name, '0' || CAST(j % 10 AS VARCHAR)) ELSE j % 7 <> 0 END AS equal FROM p""")
 def f38(spark, sf_dir):
-    """Field comparison by kind: dates as dates, numbers as numbers, names as bags of words."""
-    li = v.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("d"), F.col("l_quantity").cast("int").alias("n"))
-    kind = F.when(F.col("l_linenumber") % 3 == 0, "date").when(F.col("l_linenumber") % 3 == 1, "number").otherwise("name")
-    dates = x.date_of(F.date_format("d", "d.M.yyyy")) == x.date_of(F.date_format("d", "yyyy-MM-dd"))
-    numbers = F.lpad(F.col("n").cast("string"), 5, "0").cast("int") == F.col("n")
-    names = F.array_sort(F.split(F.lower(F.lit("Smith JOHN")), " ")) == F.array_sort(F.split(F.lower(F.lit("john smith")), " "))
-    return li.withColumn("kind", kind).select("l_orderkey", "l_linenumber", "kind", F.when(F.col("kind") == "date", dates).when(F.col("kind") == "number", numbers).otherwise(names).alias("equal"))
+    """Fields compared by kind: dates as dates, numbers as numbers, names as bags of words, categories by alias, parts, texts."""
+    p = v.table(spark, sf_dir, "orders").join(v.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    j, kind = F.expr("o_orderkey div 6"), F.get(F.array(*[F.lit(k) for k in x.FIELD_KINDS]), (F.col("o_orderkey") % 6).cast("int"))
+    later = F.date_format(F.date_add("o_orderdate", (j % 3).cast("int")), "yyyy-MM-dd")
+    alias = F.get(F.array(*[F.lit(a) for a in ("machines", "building trade", "home")]), (j % 3).cast("int"))
+    got = {
+        "date": F.date_format("o_orderdate", "d.M.yyyy"),
+        "number": F.lpad((j % 50).cast("string"), 4, "0"),
+        "name": F.concat_ws(" ", F.upper("c_mktsegment"), F.col("c_name")),
+        "category": F.lower("c_mktsegment"),
+        "contains": F.concat("c_name", F.lit(" "), (j % 3).cast("string")),
+        "text": F.concat(F.lit("  Said\t"), F.col("c_name"), F.lit("  ’so’ ")),
+    }
+    want = {
+        "date": F.when(j % 5 == 0, F.lit("30.02.2001")).otherwise(later),
+        "number": F.concat((j % 75).cast("string"), F.lit(" days")),
+        "name": F.concat_ws(" ", F.initcap("c_name"), F.lower("c_mktsegment"), F.when(j % 4 == 0, F.lit("x"))),
+        "category": alias,
+        "contains": F.when(F.expr("right(c_name, 1)") == (j % 10).cast("string"), F.substring("c_name", 2, 30)).otherwise(F.concat(F.lit("0"), (j % 10).cast("string"))),
+        "text": F.concat(F.lit("said "), F.lower("c_name"), F.lit(" 'so'"), F.when(j % 7 == 0, F.lit("!")).otherwise(F.lit(""))),
+    }
+    pick = lambda by: F.coalesce(*[F.when(kind == k, c) for k, c in by.items()])
+    known = {"machines": "machinery", "building trade": "building", "home": "household"}
+    return p.select("o_orderkey", kind.alias("kind"), pick(got).alias("got"), pick(want).alias("want")).select("o_orderkey", "kind", x.fields_agree(F.col("kind"), F.col("got"), F.col("want"), known).alias("equal"))
 
 
 @register("k07_closest_names")
 def k07(spark, sf_dir):
-    """The three names most like each asked one, by matching-block ratio, of at least 0.55."""
+    """The three names most like each asked one, in whole or in a word, by matching-block ratio, of at least 0.55."""
     names = v.people(spark, sf_dir).select("object_id", "name")
     asked = v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("query_id"), F.col("s_name").alias("asked"))
     return similarity.closest(names, asked, least=0.55, k=3)
@@ -181,5 +192,5 @@ def k07(spark, sf_dir):
 
 @register("j10_similar_heads")
 def j10(spark, sf_dir):
-    """Each document with its class of documents whose first 200 characters are alike (ratio 0.8 or more)."""
+    """Each document with its class of documents whose heads of 3,000 characters are alike (ratio 0.60 or more)."""
     return similarity.similar_heads(docs(spark, sf_dir).select("doc_id", "text"))

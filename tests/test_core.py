@@ -2,13 +2,14 @@
 
 import importlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as x
 from quillstone.functions import vector
-from quillstone.operators import graph, guard, retrieval, segment, similarity, temporal
+from quillstone.operators import graph, guard, quotes, retrieval, segment, similarity, temporal
 from quillstone.plans import registry
 from quillstone.sources import readers
 from quillstone.streaming import traces
@@ -100,9 +101,88 @@ def test_cosine_of_zero_is_null(spark):
     assert r.z is None and r.one == pytest.approx(1)
 
 
-def test_filter_stays_below_the_ranking(spark, sf_dir):
-    plan = registry.queries()["a19_normative_search"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Window") < plan.index("% 4) = 0")
+def test_only_documents_in_scope_are_searched(spark, sf_dir):
+    """A search within a scope is a search of the scope alone: the others change neither ranks nor scores."""
+    whole = registry.queries()["a19_normative_search"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id % 4 = 0 and doc_id % 9 <> 0")
+    q = spark.read.parquet(f"{sf_dir}/benchmark.parquet").selectExpr("item_id as query_id", "text")
+    alone = {(r.query_id, r.doc_id): r.score for r in retrieval.bm25(retrieval.postings(docs, q, "doc_id"), q, "doc_id").collect()}
+    assert whole and all(alone[r.query_id, r.doc_id] == pytest.approx(r.score, abs=2e-4) for r in whole)
+
+
+def test_queries_in_blocks_give_the_same_rows(spark, sf_dir, monkeypatch):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    q = e.filter("vec_id % 10 = 0").selectExpr("vec_id as query_id", "embedding")
+    rows = lambda: sorted(map(tuple, retrieval.nearest(q, e, "vec_id", 3, but_itself=True).collect()))
+    want = rows()
+    monkeypatch.setattr(retrieval, "BLOCK_QUERIES", 7)
+    assert rows() == want and len(want) == 3 * q.count()
+
+
+def test_quotes_of_any_length_are_found(spark):
+    body = "Seven wise  owls watch from an old oak tree, near quiet water."
+    texts = [(1, body), (2, body.upper()), (3, "other words stand here"), (4, None), (5, "")]
+    asked = ["wise owls watch from", "owls", "Seven wise", "se owls wat", "an old oak tree, near quiet water.", "wise owls watch from an old oak tr", "oak tree", "not there at all", "", None, "seven wise owls watch from an old oak tree, near quiet water. more"]
+    t = spark.createDataFrame(texts, "doc_id int, text string")
+    q = spark.createDataFrame(list(enumerate(asked)), "query_id int, quote string")
+    fold = lambda s: " ".join(s.lower().split())
+    want = {(i, d) for i, s in enumerate(asked) if s is not None for d, b in texts if b is not None and fold(s) in fold(b)}
+    got = [tuple(r) for r in quotes.holders(q, t, "doc_id", x.fold_quote).select("query_id", "doc_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert quotes.holders(q.limit(0), t, "doc_id").count() == 0
+
+
+def test_closest_names_match_a_plain_comparison(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    names = [" ".join("".join(rng.choice(["ko", "va", "len", "chuk", "ya", "rem"]) for _ in range(rng.randint(1, 3))).title() for _ in range(2)) for _ in range(60)] + ["", None]
+    asked = ["kovalen", "Remchuk", "zzz", "", "valen koya"]
+    n = spark.createDataFrame(list(enumerate(names)), "object_id int, name string")
+    q = spark.createDataFrame(list(enumerate(asked)), "query_id int, asked string")
+    ratio = lambda a, b: SequenceMatcher(None, a, b, autojunk=False).ratio()
+    want = set()
+    for i, a in enumerate(asked):
+        a = a.strip().lower()
+        scored = [(max([ratio(a, x.lower())] + [ratio(a, w.lower()) for w in x.split()]), j) for j, x in enumerate(names) if x and a]
+        want |= {(i, j, round(s, 6), k + 1) for k, (s, j) in enumerate(sorted((x for x in scored if x[0] >= 0.55), key=lambda x: (-round(x[0], 6), x[1]))[:3])}
+    assert {tuple(r) for r in similarity.closest(n, q, 0.55, 3).collect()} == want
+
+
+def test_duplicate_groups_match_a_plain_comparison(spark, sf_dir):
+    """All pairs of heads by the plain ratio: at least 0.9 of the links, and the groups that follow from them."""
+    from difflib import SequenceMatcher
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(90).collect()
+    base = " ".join(f"word{i * 7919 % 997} goes" for i in range(60))
+    extra = [(1000 + k, " ".join(f"{w}x" if i % (6 + k) == 0 else w for i, w in enumerate(base.split()))) for k in range(6)] + [(1010, base), (1011, base + " {a note}"), (1012, None)]
+    rows = [(r.doc_id, r.text, None) for r in docs] + [(i, t, {1010: "n1", 1012: "n1"}.get(i)) for i, t in extra]
+    head = lambda t: " ".join(re.sub(r"\{[^{}]*\}", " ", t[:3000].lower()).split())
+    heads = {i: head(t) for i, t, _ in rows if t is not None}
+    ids = sorted(heads)
+
+    def alike(a, b):
+        m = SequenceMatcher(None, heads[a], heads[b])
+        return heads[a] == heads[b] or (m.quick_ratio() >= 0.6 and m.ratio() >= 0.6)
+
+    want = {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if alike(a, b)}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, identifier string")
+    got = {r.document_id: r.canonical_id for r in similarity.duplicate_groups(df).collect()}
+    assert len(got) == len(rows)
+    together = sum(got[a] == got[b] for a, b in want)
+    assert want and together >= 0.9 * len(want)
+    root = {i: i for i in got}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, b in [*want, (1010, 1012)]:
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in got for b in got if got[a] == got[b])
+    assert got[1012] == got[1010] == 1010  # it has the identifier
+    found = {r.doc_id: r.links for r in similarity.similar_heads(df.select("doc_id", "text")).collect()}
+    assert sum(found.values()) >= 0.9 * 2 * len({(heads[a], heads[b]) for a, b in want if heads[a] != heads[b]})
 
 
 def test_counting_pushes_filters_and_prunes_columns(spark, sf_dir):
@@ -113,9 +193,6 @@ def test_counting_pushes_filters_and_prunes_columns(spark, sf_dir):
 def test_similar_strings(spark):
     df = spark.createDataFrame([("abcd", "bcde"), ("same", "same"), (None, "x")], "a string, b string")
     assert [r.ratio for r in similarity.ratios(df, "a", "b").orderBy("a").collect()] == [0.0, 0.75, 1.0]
-    heads = spark.createDataFrame([(1, "the long winding road to the old mill"), (2, "the long winding road to the old hill"), (3, "something else entirely is written here"), (1, "the long winding road to the old mill")], "doc_id bigint, text string")
-    got = {r.doc_id: r.class_id for r in similarity.similar_heads(heads).collect()}
-    assert got == {1: 1, 2: 1, 3: 3}
 
 
 def test_islands(spark):
