@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Letters that look alike, Latin against Cyrillic, and letters that stand for digits.
@@ -119,3 +119,34 @@ def fields_agree(kind: Column, got: Column, want: Column, aliases: dict[str, str
         .when(kind == "text", fold_quote(got) == fold_quote(want))
     )
     return F.coalesce(same, F.lit(False))
+
+
+# The forms in which texts declare an abbreviation: its full form, then the abbreviation.
+DECLARATIONS = {
+    "declared": r"(?i)([^.;:\n()]{6,90}?)\(\s*далі\s*[-–—]?\s*([^)]{2,30})\)",
+    "listed": r"(?m)^\s*\d+\.\d+(?:\.\d+)?\s+(\p{L}[^;\n]{3,70});\s*([А-ЯІЇЄҐA-Z]{2,10})(?!\p{L})",
+    "bracketed": r"(\p{L}[\p{L}'’\s-]{6,70}?)\s*\(\s*([А-ЯІЇЄҐ]{2,10})\s*\)",
+}
+ABBREVIATION = r"^[А-ЯІЇЄҐA-Z][А-ЯІЇЄҐA-Z0-9\s.-]{1,14}$"
+
+
+def declared_abbreviations(df: DataFrame, text: str = "text") -> DataFrame:
+    """(abbr, full_form, source, seen): abbreviations that texts declare, and how often.
+
+    The full form is the fewest last words, about as many as the abbreviation has letters, in which its letters follow one
+    another; without such words it isn't one.
+    """
+    pairs = F.concat(*[F.transform(F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("f"), F.regexp_extract_all(text, F.lit(p), F.lit(2)).alias("a")), _sourced(s)) for s, p in DECLARATIONS.items()])
+    found = df.select(F.explode(pairs).alias("p")).select("p.*").groupBy("said", "abbr", "source").agg(F.count("*").alias("seen"))
+    tidy = lambda c: F.regexp_replace(F.trim(F.regexp_replace(c, r"\s+", " ")), r"^[ ,;:–—-]+|[ ,;:–—-]+$", "")
+    found = found.withColumns({"said": F.regexp_replace(tidy(F.col("said")), r"\s+[-–—]\s.*$", ""), "abbr": tidy(F.col("abbr"))})
+    found = found.filter(F.col("abbr").rlike(ABBREVIATION) & F.length("said").between(6, 90))
+    letters = F.regexp_replace(F.lower("abbr"), r"[^\p{L}]", "")
+    found = found.withColumns({"_order": F.array_join(F.split(letters, ""), ".*"), "_n": F.length(letters), "_w": F.split("said", " ")}).filter("_n >= 2")
+    tails = F.transform(F.sequence(F.greatest(F.lit(1), F.col("_n") - 1), F.col("_n") + 2), lambda k: F.when(k <= F.size("_w"), F.array_join(F.slice("_w", F.size("_w") - k + 1, k), " ")))
+    full = F.get(F.filter(tails, lambda t: t.isNotNull() & F.call_function("rlike", F.lower(t), F.col("_order"))), F.lit(0))
+    return found.withColumn("full_form", full).filter(F.length("full_form") >= 6).groupBy("abbr", "full_form", "source").agg(F.sum("seen").alias("seen"))
+
+
+def _sourced(source: str):
+    return lambda p: F.struct(p["f"].alias("said"), p["a"].alias("abbr"), F.lit(source).alias("source"))

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import re
+import threading
+import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+T = TypeVar("T")
+#: Rows that an answer to a free query has at most.
+MOST_ROWS = 200
 
 #: Fixed set of plan nodes that only read.
-READING = {"Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "SubqueryAlias", "View", "Distinct", "Union", "WithCTE", "CTERelationDef", "CTERelationRef", "LogicalRelation", "LocalRelation", "LogicalRDD", "Relation", "RelationV2", "Window", "Intersect", "Except", "Expand", "OneRowRelation", "Offset"}
+READING = {"Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "SubqueryAlias", "View", "Distinct", "Union", "WithCTE", "CTERelationDef", "CTERelationRef", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range", "Relation", "RelationV2", "Window", "Intersect", "Except", "Expand", "OneRowRelation", "Offset"}
 
 
 def check(spark: SparkSession, query: str, tables: set[str]) -> str | None:
@@ -39,3 +47,39 @@ def check(spark: SparkSession, query: str, tables: set[str]) -> str | None:
 def _reads(parsed: str) -> bool:
     first = re.match(r"[\s'+:|-]*([A-Z]\w+)", parsed)
     return bool(first) and not re.search(r"Insert|Delete|Update|Merge|Create|Drop|Alter|Truncate|Set\w*Command|Command|Cache|Refresh|Write", first[1])
+
+
+def limited(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """df with a limit of `most` rows as its outermost step, unless it has one that is as small."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    own = re.match(r"GlobalLimit (\d+)\b", plan)
+    return df if own and int(own[1]) <= most else df.limit(most)
+
+
+def ask(spark: SparkSession, query: str, tables: set[str], most: int = MOST_ROWS) -> DataFrame:
+    """The answer to a query that others write, which must only read these tables, at most `most` rows of it."""
+    if why := check(spark, query, tables):
+        raise PermissionError(why)
+    return limited(spark.sql(query), most)
+
+
+def within(spark: SparkSession, seconds: float, action: Callable[[], T]) -> T:
+    """The result of an action, whose jobs are cancelled after so many seconds; then TimeoutError is raised."""
+    context, group, late = spark.sparkContext, f"quillstone-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        context.cancelJobGroup(group)
+
+    timer = threading.Timer(seconds, stop)
+    context.setJobGroup(group, f"at most {seconds} seconds", interruptOnCancel=True)
+    timer.start()
+    try:
+        return action()
+    except Exception as problem:
+        if late.is_set():
+            raise TimeoutError(f"stopped after {seconds} seconds") from problem
+        raise
+    finally:
+        timer.cancel()
+        context.setLocalProperty("spark.jobGroup.id", None)

@@ -87,3 +87,18 @@ def supersede(facts: DataFrame) -> DataFrame:
     order = Window.partitionBy("object_id", "dimension", "_good").orderBy("valid_from", "id")
     closed = F.when(F.col("_good"), F.lead("valid_from").over(order))
     return ranked.withColumn("closed_at", closed).withColumn("new_status", F.when(F.col("_good"), "confirmed").otherwise("unconfirmed")).drop("_tie", "_good")
+
+
+def merged_values(facts: DataFrame) -> DataFrame:
+    """(id, object_id, dimension, valid_from, closed_at, copies, sources): runs of facts that say the same, in order of start.
+
+    The first of a run holds until a fact with another value begins; the others are its copies, their documents its
+    sources. Apostrophes are folded. Facts without a start take no part.
+    """
+    order = Window.partitionBy("object_id", "dimension").orderBy("valid_from", "id")
+    said = F.translate("value", "'", "’")
+    f = facts.filter("valid_from is not null").withColumn("_new", F.when(said == F.lag(said).over(order), 0).otherwise(1))
+    f = f.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = f.groupBy("object_id", "dimension", "_run").agg(F.min_by("id", F.struct("valid_from", "id")).alias("id"), F.min("valid_from").alias("valid_from"), F.count("*").alias("copies"), F.count_distinct("source_doc_id").alias("sources"))
+    closed = F.lead("valid_from").over(Window.partitionBy("object_id", "dimension").orderBy("_run"))
+    return runs.select("id", "object_id", "dimension", "valid_from", closed.alias("closed_at"), "copies", "sources")

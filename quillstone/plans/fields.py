@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as x
-from ..operators import quotes
+from ..operators import guard, quotes
 from ..operators import retrieval as r
 from ..operators import temporal as t
 from ..sources import views as v
@@ -92,6 +92,23 @@ def k04(spark, sf_dir):
     return v.facts(spark, sf_dir).filter("status <> 'rejected'").groupBy("object_id").agg(F.least(n, F.lit(12)).cast("long").alias("shown"), F.greatest(n - 12, F.lit(0)).cast("long").alias("left_out"))
 
 
+@register("k04_shown_conflicts", v.sql(v.FACTS_SQL, body="SELECT object_id, id, total - 12 AS left_out FROM (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY valid_from DESC NULLS LAST, id) AS n, count(*) OVER (PARTITION BY object_id) AS total FROM facts WHERE status <> 'rejected') WHERE n <= 12 AND total > 12"))
+def k04_shown(spark, sf_dir):
+    """Of each list that is too long, the twelve rows shown and how many are left out."""
+    f = v.facts(spark, sf_dir).filter("status <> 'rejected'").select("object_id", "id", "valid_from")
+    long_ = f.groupBy("object_id").agg((F.count("*") - 12).alias("left_out")).filter("left_out > 0")
+    order = Window.partitionBy("object_id").orderBy(F.desc_nulls_last("valid_from"), "id")
+    shown = f.withColumn("n", F.row_number().over(order)).filter("n <= 12")
+    return shown.join(long_, "object_id").select("object_id", "id", "left_out")
+
+
+@register("k03_enforced_limit", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 200")
+def k03(spark, sf_dir):
+    """A query that others write gets the outermost limit, whatever limits it holds inside."""
+    v.table(spark, sf_dir, "orders").createOrReplaceTempView("k03_orders")
+    return guard.ask(spark, "SELECT o_custkey, count(*) AS n FROM (SELECT * FROM k03_orders LIMIT 1000000000) GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 100000", {"k03_orders"})
+
+
 @register("k06_geometry_sort", "SELECT l_orderkey, array_to_string(list(CAST(l_linenumber AS VARCHAR) ORDER BY CAST(l_quantity AS BIGINT), l_extendedprice, l_linenumber), ',') AS lines FROM lineitem GROUP BY l_orderkey")
 def k06(spark, sf_dir):
     """Blocks of a page in reading order: by the top edge, then the left one."""
@@ -182,13 +199,23 @@ def f30(spark, sf_dir):
     return best.select("label", "vec_id").union(guard[0]).union(guard[1]).distinct()
 
 
-@register("f33_abbreviations", "SELECT abbr, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[ \\n]([A-Z][a-z]{3,}) ([a-z])', 1)) AS word, unnest(regexp_extract_all(text, '[ \\n]([A-Z][a-z]{3,}) ([a-z])', 2)) AS next FROM documents) CROSS JOIN LATERAL (SELECT substring(word, 1, 1) || upper(next) AS abbr) GROUP BY abbr")
+# Abbreviations with what they stand for, and one that stands for something else.
+DECLARED = (("Збройних Сил України", "ЗСУ"), ("несанкціонований доступ", "НСД"), ("Верховної Ради", "ВР"), ("автоматизована система", "ЩЦ"))
+
+
+@register("f33_synonyms", """
+WITH o AS (SELECT o_orderkey % 4 AS k, o_orderkey // 4 % 3 AS form FROM orders)
+SELECT ['ЗСУ', 'НСД', 'ВР'][k + 1] AS abbr, ['Збройних Сил України', 'несанкціонований доступ', 'Верховної Ради'][k + 1] AS full_form, ['declared', 'listed', 'bracketed'][form + 1] AS source, count(*) AS seen FROM o WHERE k < 3 GROUP BY ALL""")
 def f33(spark, sf_dir):
-    """Two-letter abbreviations that word pairs would have, with how often."""
-    pattern = F.lit(r"[ \n]([A-Z][a-z]{3,}) ([a-z])")
-    pairs = F.arrays_zip(F.regexp_extract_all("text", pattern, F.lit(1)).alias("w"), F.regexp_extract_all("text", pattern, F.lit(2)).alias("n"))
-    found = v.table(spark, sf_dir, "documents").select(F.explode(pairs).alias("p"))
-    return found.groupBy(F.concat(F.substring("p.w", 1, 1), F.upper("p.n")).alias("abbr")).agg(F.count("*").alias("n"))
+    """Abbreviations that texts declare, with their full forms: those whose letters follow one another in the form."""
+    k, form = (F.col("o_orderkey") % 4).cast("int"), F.expr("o_orderkey div 4 % 3")
+    pick = lambda i: F.get(F.array(*[F.lit(d[i]) for d in DECLARED]), k)
+    text = (
+        F.when(form == 0, F.concat(F.lit("Форма одягу військовослужбовців. Порядок для "), pick(0), F.lit(" (далі – "), pick(1), F.lit(") такий")))
+        .when(form == 1, F.concat(F.lit("3.1.2 "), pick(0), F.lit("; "), pick(1), F.lit(" термін\n")))
+        .otherwise(F.concat(F.lit("цей захист, "), pick(0), F.lit(" ("), pick(1), F.lit(") діє")))
+    )
+    return x.declared_abbreviations(v.table(spark, sf_dir, "orders").select(text.alias("text")))
 
 
 @register("f35_named_act_absent", "SELECT item_id, NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.title)) AS absent FROM (SELECT item_id, regexp_extract(text, '^[^.!?]+') AS title FROM benchmark) b")

@@ -83,6 +83,12 @@ def t02(spark, sf_dir):
     return t.supersede(v.facts(spark, sf_dir).filter("status <> 'rejected'")).select("id", "closed_at", "new_status")
 
 
+@register("t02_same_value_merge", v.sql(v.FACTS_SQL, "o AS (SELECT *, replace(value, '''', '’') AS said, row_number() OVER (PARTITION BY object_id, dimension ORDER BY valid_from, id) AS rn FROM facts WHERE status <> 'rejected' AND valid_from IS NOT NULL)", "m AS (SELECT a.*, (SELECT max(b.rn) FROM o b WHERE b.object_id = a.object_id AND b.dimension = a.dimension AND b.rn < a.rn AND b.said <> a.said) AS last_other FROM o a)", "g AS (SELECT object_id, dimension, coalesce(last_other, 0) AS island, min(id) FILTER (WHERE rn = coalesce(last_other, 0) + 1) AS id, min(valid_from) AS valid_from, count(*) AS copies, count(DISTINCT source_doc_id) AS sources FROM m GROUP BY ALL)", body="SELECT id, object_id, dimension, valid_from, lead(valid_from) OVER (PARTITION BY object_id, dimension ORDER BY island) AS closed_at, copies, sources FROM g"))
+def t02_merge(spark, sf_dir):
+    """Values that hold one at a time: a fact that says the same again adds its document to the one that holds, another closes it."""
+    return t.merged_values(v.facts(spark, sf_dir).filter("status <> 'rejected'"))
+
+
 INVERTED = "l_orderkey, l_linenumber, CAST(o_orderdate AS DATE) AS valid_from, CAST(l_shipdate AS DATE) AS valid_to"
 
 

@@ -38,13 +38,20 @@ def a37(spark, sf_dir):
 def a38(spark, sf_dir):
     """Nearest-rank percentiles: the value at round-half-even(share * (n - 1)); ranks are counted, values never collected.
 
-    Equal values are counted first, so a group's window holds its distinct values only.
+    A histogram of value ranges, eight to a doubling, tells in which range a rank lies; only that range's distinct values
+    are put in order.
     """
-    c = v.table(spark, sf_dir, "events").groupBy("event_type", "value").agg(F.count("*").alias("c"))
+    e = v.table(spark, sf_dir, "events").select("event_type", "value", (F.signum("value") * (1 + F.floor(8 * F.log2(1 + F.abs("value"))))).alias("range"))
+    c = e.groupBy("event_type", "range", "value").agg(F.count("*").alias("c"))
     own = Window.partitionBy("event_type")
-    c = c.withColumns({"upto": F.sum("c").over(own.orderBy("value")), "n": F.sum("c").over(own)})
-    at = lambda s: F.min(F.when(F.col("upto") > F.bround(F.lit(s) * (F.col("n") - 1), 0), F.col("value")))
-    return c.groupBy("event_type").agg(F.max("n").alias("n"), at(0.5).alias("p50"), at(0.9).alias("p90"), F.max("value").alias("top"))
+    ranges = c.groupBy("event_type", "range").agg(F.sum("c").alias("c"), F.max("value").alias("top"))  # some hundreds a type
+    ranges = ranges.withColumns({"upto": F.sum("c").over(own.orderBy("range")), "n": F.sum("c").over(own), "top": F.max("top").over(own)})
+    shares = F.explode(F.array(F.lit(0.5), F.lit(0.9))).alias("share")
+    asked = ranges.select("event_type", "range", "n", "top", (F.col("upto") - F.col("c")).alias("before"), "upto", shares).withColumn("rank", F.bround(F.col("share") * (F.col("n") - 1), 0))
+    asked = asked.filter("rank >= before and rank < upto").drop("upto")
+    within = c.join(asked, ["event_type", "range"]).withColumn("upto", F.col("before") + F.sum("c").over(Window.partitionBy("event_type", "share").orderBy("value")))
+    at = lambda s: F.min(F.when((F.col("share") == s) & (F.col("upto") > F.col("rank")), F.col("value")))
+    return within.groupBy("event_type").agg(F.max("n").alias("n"), at(0.5).alias("p50"), at(0.9).alias("p90"), F.max("top").alias("top"))
 
 
 @register("a38_latest_series", "SELECT event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 60")

@@ -133,6 +133,23 @@ def f20(spark, sf_dir):
     return segment.stride_chunks(v.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "ord", "start", F.md5("chunk").alias("chunk"))
 
 
+@register("f20_paragraph_chunks")
+def f20_paragraphs(spark, sf_dir):
+    """Chunks of whole paragraphs; the tables hold no blank lines, so sentences of ten words or more begin one here.
+
+    The twin would need a fold over paragraphs; tests hold it against a plain one.
+    """
+    d = v.table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"([.!?]) (?=\S+(?: \S+){9})", "$1\n \n").alias("text"))
+    return segment.paragraph_chunks(d, "doc_id").select("doc_id", "ord", "start", F.md5("chunk").alias("chunk"))
+
+
+@register("f21_nested_units")
+def f21_nested(spark, sf_dir):
+    """Structural units with list items as parts of their point, of documents whose lines are numbered here."""
+    lines = F.transform(F.split("text", "\n"), lambda l, i: F.concat((i % 3 + 1).cast("string"), F.lit(". "), l))
+    return segment.units(v.table(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text")), "doc_id", rule="nest")
+
+
 @register("f21_structural_units")
 def f21(spark, sf_dir):
     return segment.units(v.table(spark, sf_dir, "documents"), "doc_id")

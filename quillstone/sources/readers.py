@@ -60,3 +60,27 @@ def purge(df: DataFrame, today: str, root: str, uri: str = "raw_uri") -> DataFra
     """Forgets the originals of expired rows; a path outside root is left as it is."""
     inside = F.startswith(F.col(uri), F.lit(root)) & ~F.contains(F.col(uri), F.lit(".."))
     return df.withColumn(uri, F.when(~((F.col("expires_at") <= F.lit(today).cast("date")) & inside), F.col(uri)))
+
+
+#: Bytes that a catalog may have.
+MOST_CATALOG = 16 << 20
+
+
+def read_catalog(spark: SparkSession, path: str, entries: str, schema: str) -> DataFrame:
+    """The entries of a YAML catalog (a list, or a mapping whose keys become the first column) as rows of a schema.
+
+    Catalogs are small files of rules and words that people write; a file over MOST_CATALOG bytes is refused. Fields that
+    an entry lacks are null, and fields that the schema lacks are left out.
+    """
+    import yaml
+
+    file = spark.read.format("binaryFile").load(path)
+    size = file.select("length").first()[0]
+    if size > MOST_CATALOG:
+        raise ValueError(f"{path} has {size} bytes, more than a catalog may have")
+    found = yaml.safe_load(bytes(file.select("content").first()[0]).decode("utf-8-sig")) or {}
+    found = found.get(entries) or [] if entries else found
+    names = spark.createDataFrame([], schema).columns
+    if isinstance(found, dict):
+        found = [{names[0]: k, **(x if isinstance(x, dict) else {names[1]: x})} for k, x in found.items()]
+    return spark.createDataFrame([tuple(x.get(n) for n in names) for x in found], schema)

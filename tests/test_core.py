@@ -235,3 +235,80 @@ def test_streams(spark, sf_dir, tmp_path):
 def test_entry_point():
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(registry.queries()) > 100
+
+
+def plain_chunks(text, size=1200, overlap=200):
+    """Paragraphs put together, by a plain loop."""
+    out, held, begin, at = [], "", 0, 0
+    for part in re.split(r"(\n\s*\n)", text):
+        bare, low = part.strip(), at + len(part) - len(part.lstrip())
+        at += len(part)
+        if not bare:
+            continue
+        if len(bare) > size:
+            out += [(begin, held)] if held else []
+            out += [(low + i, bare[i : i + size]) for i in range(0, len(bare), size - overlap)]
+            held = ""
+        elif held and len(held) + len(bare) + 1 > size:
+            out.append((begin, held))
+            lead = held[-overlap:]
+            held, begin = lead + "\n" + bare, max(0, low - len(lead) - 1)
+        elif held:
+            held += "\n" + bare
+        else:
+            held, begin = bare, low
+    return [c for c in [*out, *([(begin, held)] if held else [])] if len(c[1].strip()) >= 80]
+
+
+def test_paragraph_chunks_match_a_plain_loop(spark):
+    rng = random.Random(12)
+    texts = [None, "", "short", "\n\n  \n\n", "x" * 5000]
+    for _ in range(40):
+        texts.append("".join("w" * rng.choice([3, 60, 250, 500, 1100, 1300, 2700]) + rng.choice([" end", "", "\n line"]) + rng.choice(["\n\n", "\n \n\n", "\n\n  "]) for _ in range(rng.randint(1, 9))))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {}
+    for r in segment.paragraph_chunks(df, "id").orderBy("id", "ord").collect():
+        got.setdefault(r.id, []).append((r.start, r.chunk))
+    for i, t in enumerate(texts):
+        assert got.get(i, []) == plain_chunks(t or ""), i
+
+
+def test_rules_tell_points_from_items():
+    long_ = " words of a point that is long enough to be a unit of its own, and some more of them, and then the end"
+    text = "".join(f"{n}.{long_}\n" for n in (1, 2)) + "".join(f"{n}.{long_} item\n" for n in (1, 2)) + f"\n3.{long_}\nArticle 5\n1.{long_}\n"
+    labels = {rule: [m[1] for m in segment.marks_of(text, rule)] for rule in segment.RULES}
+    assert labels["union"] == ["point 1", "point 2", "point 1", "point 2", "point 3", "article 5", "point 1"]
+    assert labels["blank"] == labels["blank+seq"] == ["point 1", "point 3", "article 5"]
+    assert labels["seq"] == ["point 1", "point 2", "point 2", "point 3", "article 5", "point 1"]
+    assert labels["nest"] == ["point 1", "point 2", "point 2 / point 1", "point 2 / point 2", "point 2 / point 3", "article 5", "point 1"]
+    for rule in segment.RULES:
+        units = segment.units_of(text, rule=rule)
+        assert units[0]["char_start"] == 0 and units[-1]["char_end"] == len(text)
+        assert all(a["char_end"] >= b["char_start"] for a, b in zip(units, units[1:], strict=False))
+    with pytest.raises(ValueError):
+        segment.marks_of(text, "other")
+
+
+def test_limits_and_deadlines(spark):
+    import time
+
+    spark.range(1000).createOrReplaceTempView("numbers")
+    assert guard.ask(spark, "select id from numbers limit 900", {"numbers"}).count() == 200
+    assert guard.ask(spark, "select id from (select id from numbers limit 3)", {"numbers"}, 200).count() == 3
+    assert guard.limited(spark.sql("select id from numbers limit 5")).count() == 5
+    with pytest.raises(PermissionError):
+        guard.ask(spark, "drop view numbers", {"numbers"})
+    assert guard.within(spark, 60, lambda: spark.range(10).count()) == 10
+    slow = F.udf(lambda i: time.sleep(30) or i, "long")
+    began = time.time()
+    with pytest.raises(TimeoutError):
+        guard.within(spark, 2, lambda: spark.range(4).select(slow("id")).collect())
+    assert time.time() - began < 25 and spark.range(3).count() == 3
+
+
+def test_catalogs(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text("templates:\n - {id: a, title: Über}\n - {id: b, more: 1}\nwords:\n  home: household\n  machines: machinery\n", encoding="utf-8")
+    rows = readers.read_catalog(spark, str(tmp_path / "c.yaml"), "templates", "id string, title string").collect()
+    assert [tuple(r) for r in rows] == [("a", "Über"), ("b", None)]
+    assert readers.read_catalog(spark, str(tmp_path / "c.yaml"), "words", "alias string, code string").count() == 2
+    assert readers.read_catalog(spark, str(tmp_path / "c.yaml"), "none", "id string").count() == 0
