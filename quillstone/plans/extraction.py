@@ -8,25 +8,6 @@ from pyspark.sql import functions as F
 from ..sources import views as v
 from .registry import register
 
-#: Ranks, the longest first, as a run of words is matched whole.
-RANKS = ("senior master sergeant", "senior sergeant", "sergeant", "captain")
-
-
-def rank_and_name(text: Column) -> Column:
-    """(rank, surname): the longest known rank at the start, and the first upper-case word after it."""
-    rank = F.regexp_extract(F.lower(text), "^(" + "|".join(RANKS) + r")\s", 1)
-    rest = F.regexp_replace(text, "(?i)^(" + "|".join(RANKS) + r")\s+", "")
-    surname = F.regexp_extract(rest, r"(?:^|\s)(\p{Lu}{2,}(?:-\p{Lu}+)?)(?:\s|$)", 1)
-    return F.struct(F.nullif(rank, F.lit("")).alias("rank"), F.nullif(surname, F.lit("")).alias("surname"))
-
-
-@register("f10_rank_and_name", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'senior master sergeant' WHEN 1 THEN 'sergeant' WHEN 2 THEN 'captain' END AS rank, c_mktsegment AS surname FROM customer")
-def f10(spark, sf_dir):
-    k = F.col("c_custkey") % 4
-    said = F.concat(F.when(k == 0, "Senior Master Sergeant ").when(k == 1, "sergeant ").when(k == 2, "Captain ").otherwise("private "), F.lit("John "), F.col("c_mktsegment"), F.lit(" junior"))
-    return v.table(spark, sf_dir, "customer").select("c_custkey", rank_and_name(said).alias("p")).select("c_custkey", "p.rank", "p.surname")
-
-
 BLOCKS = "SELECT l_orderkey AS page, l_linenumber AS block, CAST(l_quantity AS BIGINT) AS x, CAST(l_extendedprice AS BIGINT) // 20000 AS y FROM lineitem"
 
 

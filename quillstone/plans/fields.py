@@ -117,26 +117,6 @@ def k06(spark, sf_dir):
     return v.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(lines, ",").alias("lines"))
 
 
-# Month names.
-MONTHS = "january february march april may june july august september october november december".split()
-
-
-@register("f03_date_parts", "SELECT o_orderkey, CASE WHEN o_orderkey % 40 BETWEEN 1 AND 28 THEN make_date(2000 + CAST(o_orderkey % 30 AS INTEGER), CAST(o_orderkey % 12 AS INTEGER) + 1, CAST(o_orderkey % 40 AS INTEGER)) WHEN o_orderkey % 40 > 28 THEN try_cast(CAST(2000 + o_orderkey % 30 AS VARCHAR) || '-' || lpad(CAST(o_orderkey % 12 + 1 AS VARCHAR), 2, '0') || '-' || CAST(o_orderkey % 40 AS VARCHAR) AS DATE) END AS day FROM orders")
-def f03(spark, sf_dir):
-    """Day, month name and two-digit year to a date; a date that doesn't exist is null, never an error."""
-    months = F.array(*[F.lit(m) for m in MONTHS])
-    name = F.get(months, (F.col("o_orderkey") % 12).cast("int"))
-    month = F.array_position(months, name).cast("string")
-    iso = F.concat_ws("-", (2000 + F.col("o_orderkey") % 30).cast("string"), F.lpad(month, 2, "0"), F.lpad((F.col("o_orderkey") % 40).cast("string"), 2, "0"))
-    return v.table(spark, sf_dir, "orders").select("o_orderkey", iso.try_cast("date").alias("day"))
-
-
-@register("f07_attested_numbers", "SELECT doc_id, len(list_distinct(regexp_extract_all(text, '[0-9]{1,16}'))) AS n, list_contains(regexp_extract_all(text, '[0-9]{1,16}'), '555') AS attested FROM documents")
-def f07(spark, sf_dir):
-    numbers = F.regexp_extract_all("text", F.lit("[0-9]{1,16}"), F.lit(0))
-    return v.table(spark, sf_dir, "documents").select("doc_id", F.size(F.array_distinct(numbers)).cast("long").alias("n"), F.array_contains(numbers, "555").alias("attested"))
-
-
 @register("f08_dictionary_lookup", "SELECT c_custkey, code FROM customer LEFT JOIN (VALUES ('machinery', 'M'), ('household', 'H'), ('build', 'B')) d(alias, code) ON lower(c_mktsegment) = alias OR (lower(c_mktsegment) LIKE alias || '%' AND length(alias) = 5)")
 def f08(spark, sf_dir):
     """By exact alias, else by a stem of five letters."""
@@ -147,19 +127,6 @@ def f08(spark, sf_dir):
     return out.select("c_custkey", F.coalesce("exact", "by_stem").alias("code"))
 
 
-@register("f09_name_case", "SELECT c_custkey, upper(substring(c_mktsegment, 1, 1)) || lower(substring(c_mktsegment, 2)) AS shown FROM customer")
-def f09(spark, sf_dir):
-    return v.table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.upper(F.substring("c_mktsegment", 1, 1)), F.lower(F.expr("substring(c_mktsegment, 2)"))).alias("shown"))
-
-
-@register("f13_form_coverage", "SELECT page_id, round((CAST(contains(html, '<nav>') AS INTEGER) + CAST(contains(html, 'utm_source') AS INTEGER) + CAST(contains(html, '<article>') AS INTEGER) + CAST(contains(html, '&copy;') AS INTEGER)) / 4.0::DOUBLE, 6) AS coverage FROM pages")
-def f13(spark, sf_dir):
-    """Which share of a form's printed lines a page holds."""
-    lines = F.array(*[F.lit(s) for s in ("<nav>", "utm_source", "<article>", "&copy;")])
-    found = F.size(F.filter(lines, lambda s: F.contains("html", s)))
-    return v.table(spark, sf_dir, "pages").select("page_id", F.round(found / F.size(lines), 6).alias("coverage"))
-
-
 @register("f16_subject_kind", v.sql(v.REGISTRY_SQL, body="SELECT id, coalesce(CASE WHEN id % 11 = 0 THEN 'equipment' END, CASE domain WHEN 'leave' THEN 'person' WHEN 'deployment' THEN 'person' WHEN 'normative' THEN 'act' END, CASE WHEN contains(text, '@') THEN 'person' END, 'unknown') AS kind FROM registry"))
 def f16(spark, sf_dir):
     schema = F.when(F.col("id") % 11 == 0, "equipment")
@@ -226,29 +193,6 @@ def f35(spark, sf_dir):
     return b.join(there, "query_id", "left").select(F.col("query_id").alias("item_id"), F.col("there").isNull().alias("absent"))
 
 
-@register("f43_cross_references", "WITH u AS (SELECT conv_id, turn, text, CAST(length(text) % 4 AS BIGINT) AS refers FROM conversations) SELECT a.conv_id, a.turn, min(b.turn) AS target FROM u a LEFT JOIN u b ON b.conv_id = a.conv_id AND b.turn = a.refers AND b.turn <> a.turn GROUP BY a.conv_id, a.turn")
-def f43(spark, sf_dir):
-    """The unit of the same document that a unit refers to by its label; none is null."""
-    u = v.table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.length("text") % 4).cast("long").alias("refers"))
-    target = u.select(F.col("conv_id").alias("own"), F.col("turn").alias("target"))
-    met = (F.col("conv_id") == F.col("own")) & (F.col("refers") == F.col("target")) & (F.col("turn") != F.col("target"))
-    return u.join(target, met, "left").groupBy("conv_id", "turn").agg(F.min("target").alias("target"))
-
-
-@register("f44_outline", "SELECT conv_id, turn, role, turn = 1 AS is_current, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) AS INTEGER) AS place FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) >= 2)")
-def f44(spark, sf_dir):
-    """Siblings of a unit in order, the current one marked; a single unit has no outline."""
-    own = Window.partitionBy("conv_id")
-    c = v.table(spark, sf_dir, "conversations").withColumns({"n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("turn", "role"))})
-    return c.filter("n >= 2").select("conv_id", "turn", "role", (F.col("turn") == 1).alias("is_current"), "place")
-
-
-@register("f48_record_check", v.sql(v.FACTS_SQL, body="SELECT kind, count(*) AS n FROM (SELECT CASE WHEN value IS NULL OR trim(value) = '' THEN 'blank' WHEN valid_to IS NULL THEN 'not_issued' WHEN contains(value, '''') THEN 'diverges' ELSE 'fine' END AS kind FROM facts) GROUP BY kind"))
-def f48(spark, sf_dir):
-    kind = F.when(x.is_blank(F.col("value")), "blank").when(F.col("valid_to").isNull(), "not_issued").when(F.contains("value", F.lit("'")), "diverges").otherwise("fine")
-    return v.facts(spark, sf_dir).groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
-
-
 @register("f49_translation_cache", "SELECT event_type, coalesce(shown, event_type) AS shown, count(*) AS n FROM events LEFT JOIN (VALUES ('view', 'Ansicht'), ('click', 'Klick')) t(event_type, shown) USING (event_type) GROUP BY ALL")
 def f49(spark, sf_dir):
     known = F.create_map(F.lit("view"), F.lit("Ansicht"), F.lit("click"), F.lit("Klick"))

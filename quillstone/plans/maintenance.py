@@ -106,13 +106,6 @@ def t04(spark, sf_dir):
     return v.facts(spark, sf_dir).filter((F.col("status") == "confirmed") & F.col("dimension").isin("1-URGENT", "2-HIGH") & t.at_date("1999-01-01") & ~returned).groupBy("object_id").agg(F.count("*").alias("n"))
 
 
-@register("t05_document_validity", v.sql(v.REGISTRY_SQL, body="SELECT id, CASE WHEN regexp_matches(substring(text, 1, 600), '[0-9]{16}') THEN 'superseded' ELSE 'current' END AS validity, CASE WHEN regexp_matches(substring(text, 1, 600), '[0-9]{16}') THEN 'declared' ELSE 'manual' END AS source, nullif(regexp_extract(substring(text, 1, 600), '[0-9]{16}'), '') AS note FROM registry WHERE domain = 'normative'"))
-def t05(spark, sf_dir):
-    head = F.substring("text", 1, 600)
-    said = head.rlike("[0-9]{16}")
-    return v.registry(spark, sf_dir).filter("domain = 'normative'").select("id", F.when(said, "superseded").otherwise("current").alias("validity"), F.when(said, "declared").otherwise("manual").alias("source"), F.nullif(F.regexp_extract(head, "[0-9]{16}", 0), F.lit("")).alias("note"))
-
-
 @register("t06_roster_rule", v.sql(v.FACTS_SQL, v.PEOPLE_SQL, body="SELECT id, CASE WHEN status = 'confirmed' AND service_id IS NULL THEN 'unconfirmed' ELSE status END AS status FROM facts LEFT JOIN people USING (object_id)"))
 def t06(spark, sf_dir):
     f = v.facts(spark, sf_dir).join(v.people(spark, sf_dir).select("object_id", "service_id"), "object_id", "left")
@@ -152,13 +145,6 @@ def e04(spark, sf_dir):
     return v.table(spark, sf_dir, "documents").select("doc_id", document_number().alias("identifier"))
 
 
-@register("e05_identifier_resolve", v.sql("ids AS (SELECT doc_id, regexp_extract(text, '[0-9]{16}') AS number FROM documents)", "known AS (SELECT number, min(doc_id) AS doc_id FROM ids WHERE number <> '' AND doc_id % 3 <> 0 GROUP BY number)", body="SELECT i.doc_id, CASE WHEN i.number = '' THEN 'none' WHEN k.number IS NULL THEN 'absent' ELSE 'resolved' END AS outcome, k.doc_id AS target FROM ids i LEFT JOIN known k ON k.number = i.number AND i.number <> ''"))
-def e05(spark, sf_dir):
-    ids = v.table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract("text", "[0-9]{16}", 0).alias("number"))
-    known = ids.filter("number <> '' and doc_id % 3 <> 0").groupBy("number").agg(F.min("doc_id").alias("target"))
-    return ids.join(known, "number", "left").select("doc_id", F.when(F.col("number") == "", "none").when(F.col("target").isNull(), "absent").otherwise("resolved").alias("outcome"), "target")
-
-
 @register("e06_identity_source", "SELECT page_id, coalesce(nullif(regexp_extract(url, '/([0-9]+)', 1), ''), nullif(regexp_extract(html, '<title>([^<]{1,20})', 1), '')) AS identity, CASE WHEN regexp_extract(url, '/([0-9]+)', 1) <> '' THEN 0.95 ELSE 0.6 END::DOUBLE AS confidence FROM pages")
 def e06(spark, sf_dir):
     number, title = F.regexp_extract("url", "/([0-9]+)", 1), F.regexp_extract("html", "<title>([^<]{1,20})", 1)

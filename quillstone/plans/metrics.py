@@ -80,10 +80,3 @@ def a41(spark, sf_dir):
     best = c.groupBy("user_id").agg(F.min_by("event_type", F.struct(-F.col("n"), F.col("event_type"))).alias("winner"), F.max("n").alias("votes"))
     ties = c.join(best, "user_id").filter("n = votes").groupBy("user_id").agg((F.count("*") > 1).alias("split"))
     return best.join(ties, "user_id")
-
-
-@register("a44_router_confusion", "WITH c AS (SELECT *, value / 100.0::DOUBLE AS score, CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END AS expected FROM events) SELECT expected, count(*) AS n, count(*) FILTER (WHERE expected = event_type) AS top1, count(*) FILTER (WHERE score >= 0.05) AS routed, count(*) FILTER (WHERE score >= 0.05 AND expected <> event_type) AS confidently_wrong FROM c GROUP BY expected")
-def a44(spark, sf_dir):
-    e = v.table(spark, sf_dir, "events").withColumn("expected", F.when(F.col("event_id") % 3 == 0, "view").otherwise(F.col("event_type")))
-    sure, right = F.col("value") / 100.0 >= 0.05, F.col("expected") == F.col("event_type")
-    return e.groupBy("expected").agg(F.count("*").alias("n"), F.count_if(right).alias("top1"), F.count_if(sure).alias("routed"), F.count_if(sure & ~right).alias("confidently_wrong"))

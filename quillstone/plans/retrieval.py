@@ -180,3 +180,27 @@ def a42(spark, sf_dir):
     best = r.cosines(q, e, "vec_id").filter("vec_id <> query_id").groupBy("query_id").agg(F.max("score").alias("s"))
     yes, no = F.when(F.expr("query_id div 100 % 2 = 0"), F.col("s")), F.when(F.expr("query_id div 100 % 2 <> 0"), F.col("s"))
     return best.agg(F.round(F.min(yes), 6).alias("low"), F.round(F.max(no), 6).alias("high"), F.round(F.min(yes) - F.max(no), 6).alias("gap"), F.round(F.median(yes), 6).alias("mid"))
+
+
+@register("a44_router_confusion", f"WITH {NEAR}, first AS (SELECT query_id, label, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near) WHERE rank = 1), c AS (SELECT q.label AS expected, f.label = q.label AS good, score >= 0.5 AS sure FROM first f JOIN embeddings q ON q.vec_id = f.query_id) SELECT expected, count(*) AS n, count(*) FILTER (WHERE good) AS top1, count(*) FILTER (WHERE sure) AS routed, count(*) FILTER (WHERE sure AND NOT good) AS confidently_wrong FROM c GROUP BY expected")
+def a44(spark, sf_dir):
+    """How a router by the nearest example fares on examples, each left out of its own search."""
+    e, q = vectors(spark, sf_dir)
+    scored = r.cosines(q, e, "vec_id", "label").filter("vec_id <> query_id")
+    first = scored.groupBy("query_id").agg(F.max_by(F.struct("label", "score"), F.struct("score", -F.col("vec_id"))).alias("f"))
+    truth = e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("expected"))
+    good, sure = F.col("f.label") == F.col("expected"), F.col("f.score") >= 0.5
+    return first.join(truth, "query_id").groupBy("expected").agg(F.count("*").alias("n"), F.count_if(good).alias("top1"), F.count_if(sure).alias("routed"), F.count_if(sure & ~good).alias("confidently_wrong"))
+
+
+@register("f25_search_rrf_by_unit", v.sql("documents_ AS (SELECT doc_id, text FROM documents)", INDEX, ASKED, BM25.strip(), """
+size AS (SELECT query_id, count(*) AS size FROM q GROUP BY query_id),
+rk AS (SELECT query_id, doc_id, round(sum(0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE) / any_value(size), 6) AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
+both_ AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 4) DESC, doc_id) AS rank, 'a' AS branch FROM bm UNION ALL SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 4) DESC, doc_id), 'b' FROM rk)""", body="SELECT query_id, doc_id // 10 AS unit, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf, count(DISTINCT branch) AS branches, string_agg(DISTINCT CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) AS parts FROM both_ WHERE rank <= 70 GROUP BY query_id, unit"))
+def f25_search(spark, sf_dir):
+    """Two lexical branches of 70 fused by reciprocal ranks, where the parts of one unit count together."""
+    q = asked(spark, sf_dir)
+    found = r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id")
+    branches_ = [r.top(scored.withColumn("score", F.round("score", 4)), 70, "doc_id").select("query_id", "doc_id", "rank", F.lit(n).alias("branch")) for n, scored in (("a", r.bm25(found, q, "doc_id")), ("b", r.any_term_rank(found, q, "doc_id")))]
+    both = branches_[0].unionByName(branches_[1]).withColumn("unit", F.expr("doc_id div 10"))
+    return both.groupBy("query_id", "unit").agg(F.round(F.sum(1.0 / (60 + F.col("rank"))), 6).alias("rrf"), F.count_distinct("branch").alias("branches"), F.array_join(F.array_sort(F.collect_set(F.col("doc_id").cast("string"))), ",").alias("parts"))

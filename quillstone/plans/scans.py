@@ -18,11 +18,12 @@ def s05(spark, sf_dir):
     return readers.dispatch(p, "path").select("page_id", "source_kind", "error")
 
 
-@register("s06_exact_dedupe", "SELECT sha256(text) AS checksum, min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id < 50) GROUP BY 1")
+@register("s06_exact_dedupe", "SELECT sha256(text) AS checksum, min(doc_id) AS doc_id, count(*) AS copies FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM benchmark UNION ALL SELECT sha256(text) FROM conversations) GROUP BY 1")
 def s06(spark, sf_dir):
+    """New documents by checksum, each once, beside those that the store (passages and turns here) has already."""
+    sums = lambda name: v.table(spark, sf_dir, name).select(F.sha2("text", 256).alias("checksum"))
     d = v.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("checksum"))
-    index = d.filter("doc_id < 50").select("checksum").distinct()
-    return d.join(index, "checksum", "left_anti").groupBy("checksum").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    return d.join(sums("benchmark").unionByName(sums("conversations")), "checksum", "left_anti").groupBy("checksum").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
 HTML = "regexp_replace(regexp_replace(html, '<(script|style)\\b.*?</(script|style)\\s*>', '', 'gis'), '<[^>]*>', chr(10), 'gs')"
@@ -47,9 +48,9 @@ def s10(spark, sf_dir):
     return v.table(spark, sf_dir, "events").withColumn("rn", F.row_number().over(order)).filter("rn = 1").select("user_id", "event_type", "event_id", "value")
 
 
-@register("s15_insert_if_absent", "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)")
+@register("s15_insert_if_absent", "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def s15(spark, sf_dir):
-    have = v.table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    have = v.table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     return readers.insert_absent(have, v.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), ["id"])
 
 

@@ -78,15 +78,6 @@ def f14(spark, sf_dir):
     return d.select("doc_id", F.when((F.size(won) == 1) & (F.col("best") >= 3), won[0]["domain"]).alias("domain"), F.col("best").alias("score"))
 
 
-@register("f15_template_identification", "WITH t AS (SELECT page_id, html, regexp_extract(html, '<title>([^<]*)', 1) AS title FROM pages), s AS (SELECT page_id, 5 * CAST(contains(title, ' ') AS INTEGER) + 2 * (length(html) - length(replace(html, '<p>', ''))) / 3 AS prose, 5 * CAST(contains(title, '|') AS INTEGER) + 2 * (length(html) - length(replace(html, ' | ', ''))) / 3 AS listing FROM t) SELECT page_id, CASE WHEN greatest(prose, listing) < 6 OR prose = listing THEN NULL WHEN prose > listing THEN 'prose' ELSE 'listing' END AS template FROM s")
-def f15(spark, sf_dir):
-    title = F.regexp_extract("html", "<title>([^<]*)", 1)
-    count = lambda w: (F.length("html") - F.length(F.replace("html", F.lit(w), F.lit("")))) / 3
-    prose = 5 * title.contains(" ").cast("int") + 2 * count("<p>")
-    listing = 5 * title.contains("|").cast("int") + 2 * count(" | ")
-    return v.table(spark, sf_dir, "pages").select("page_id", F.when((F.greatest(prose, listing) < 6) | (prose == listing), None).when(prose > listing, "prose").otherwise("listing").alias("template"))
-
-
 @register("f17_field_confidence", v.sql(v.FACTS_SQL, body="SELECT source_doc_id, min(least(CASE json_extract_string(info, '$.method') WHEN 'm0' THEN 1.0 WHEN 'm1' THEN 0.9 ELSE 0.6 END::DOUBLE, coalesce(confidence, 0.5))) AS confidence, bool_and(valid_from IS NOT NULL) AS complete FROM facts GROUP BY source_doc_id"))
 def f17(spark, sf_dir):
     method = F.get_json_object("info", "$.method")
