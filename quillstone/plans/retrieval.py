@@ -16,7 +16,7 @@ ASKED = f"q AS (SELECT item_id AS query_id, unnest(list_distinct({WORDS})) AS te
 BM25 = """
 stats AS (SELECT count(*) AS n, sum(len(w)) / count(*)::DOUBLE AS mean FROM words),
 freq AS (SELECT term, count(*) AS df FROM idx GROUP BY term),
-bm AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score, count(*) AS matched
+bm AS (SELECT query_id, doc_id, CAST(sum(CAST(round(1000000.0::DOUBLE * (ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean)))) AS BIGINT)) AS DOUBLE) / 1000000.0::DOUBLE AS score, count(*) AS matched
   FROM q JOIN freq USING (term) JOIN idx USING (term) CROSS JOIN stats GROUP BY query_id, doc_id)"""
 
 
@@ -38,20 +38,20 @@ def f22_index(spark, sf_dir):
     return r.inverted_index(v.table(spark, sf_dir, "documents"), "doc_id").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("n"))
 
 
-@register("f22_bm25_top10", f"WITH {INDEX}, {ASKED}, {BM25} SELECT query_id, doc_id, round(score, 4) AS score, matched FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm) WHERE rank <= 10")
+@register("f22_bm25_top10", f"WITH {INDEX}, {ASKED}, {BM25} SELECT query_id, doc_id, score, matched FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm) WHERE rank <= 10")
 def f22(spark, sf_dir):
     q = asked(spark, sf_dir)
     scored = r.bm25(r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id"), q, "doc_id")
-    return r.top(scored, 10, "doc_id").select("query_id", "doc_id", F.round("score", 4).alias("score"), "matched")
+    return r.top(scored, 10, "doc_id").select("query_id", "doc_id", "score", "matched")
 
 
 @register("f22_any_term_rank", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, """
 size AS (SELECT query_id, count(*) AS size FROM q GROUP BY query_id),
-found AS (SELECT query_id, doc_id, round(sum(0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE) / any_value(size), 6) AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
+found AS (SELECT query_id, doc_id, CAST(sum(CAST(round(1000000.0::DOUBLE * (0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE)) AS BIGINT)) // any_value(size) AS DOUBLE) / 1000000.0::DOUBLE AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
 best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM found WHERE score >= 0.02),
 body AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '') AS w FROM scope),
 spots AS (SELECT query_id, doc_id, w, list_position(list_transform(w, lambda x: list_has_any(regexp_split_to_array(lower(x), '[^\\pL\\pN]+'), terms)), true) AS i FROM best JOIN (SELECT query_id, list(term) AS terms FROM q GROUP BY query_id) USING (query_id) JOIN body USING (doc_id) WHERE rank <= 70)
-""", body="SELECT query_id, doc_id, round(score, 4) AS score, array_to_string(w[greatest(i - 5, 1):greatest(i - 5, 1) + 14], ' ') AS headline FROM best JOIN spots USING (query_id, doc_id)"))
+""", body="SELECT query_id, doc_id, score, array_to_string(w[greatest(i - 5, 1):greatest(i - 5, 1) + 14], ' ') AS headline FROM best JOIN spots USING (query_id, doc_id)"))
 def f22_any(spark, sf_dir):
     """Full-text search within the procedural scope: any term, ranks of 0.02 or more, 70 a question, a headline of 15 words."""
     q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
@@ -62,10 +62,10 @@ def f22_any(spark, sf_dir):
     hits = best.join(terms, "query_id").join(body, "doc_id")
     hit = F.array_position(F.transform("w", lambda w: F.arrays_overlap(F.split(F.lower(w), r"[^\p{L}\p{N}]+"), "terms")), True)
     hits = hits.withColumn("_from", F.greatest(hit - 5, F.lit(1)).cast("int"))
-    return hits.select("query_id", "doc_id", F.round("score", 4).alias("score"), F.array_join(F.slice("w", F.col("_from"), F.lit(15)), " ").alias("headline"))
+    return hits.select("query_id", "doc_id", "score", F.array_join(F.slice("w", F.col("_from"), F.lit(15)), " ").alias("headline"))
 
 
-@register("a19_normative_search", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, BM25.strip(), body="SELECT query_id, type AS source, round(score, 4) AS score, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, type) AS rank FROM (SELECT query_id, type, max(score) AS score, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM bm JOIN scope USING (doc_id) GROUP BY query_id, type)) WHERE rank <= 3"))
+@register("a19_normative_search", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, BM25.strip(), body="SELECT query_id, type AS source, score, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, type) AS rank FROM (SELECT query_id, type, max(score) AS score, arg_min(doc_id, (-score, doc_id)) AS doc_id FROM bm JOIN scope USING (doc_id) GROUP BY query_id, type)) WHERE rank <= 3"))
 def a19(spark, sf_dir):
     """The three best sources of normative documents in force for each question, with the best document.
 
@@ -74,7 +74,7 @@ def a19(spark, sf_dir):
     q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
     scored = r.bm25(r.postings(docs, q, "doc_id"), q, "doc_id").join(docs.select("doc_id", F.col("type").alias("source")), "doc_id")
     by_source = scored.groupBy("query_id", "source").agg(F.max("score").alias("score"), F.min_by("doc_id", F.struct(-F.col("score"), F.col("doc_id"))).alias("doc_id"))
-    return r.top(by_source, 3, "source").select("query_id", "source", F.round("score", 4).alias("score"), "doc_id")
+    return r.top(by_source, 3, "source").select("query_id", "source", "score", "doc_id")
 
 
 def cosine_sql(a: str, b: str) -> str:
@@ -195,12 +195,12 @@ def a44(spark, sf_dir):
 
 @register("f25_search_rrf_by_unit", v.sql("documents_ AS (SELECT doc_id, text FROM documents)", INDEX, ASKED, BM25.strip(), """
 size AS (SELECT query_id, count(*) AS size FROM q GROUP BY query_id),
-rk AS (SELECT query_id, doc_id, round(sum(0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE) / any_value(size), 6) AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
-both_ AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 4) DESC, doc_id) AS rank, 'a' AS branch FROM bm UNION ALL SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 4) DESC, doc_id), 'b' FROM rk)""", body="SELECT query_id, doc_id // 10 AS unit, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf, count(DISTINCT branch) AS branches, string_agg(DISTINCT CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) AS parts FROM both_ WHERE rank <= 70 GROUP BY query_id, unit"))
+rk AS (SELECT query_id, doc_id, CAST(sum(CAST(round(1000000.0::DOUBLE * (0.1::DOUBLE * list_sum(list_transform(range(1, least(tf, 256) + 1), lambda k: 1.0::DOUBLE / (k * k))) / 1.64493406685::DOUBLE)) AS BIGINT)) // any_value(size) AS DOUBLE) / 1000000.0::DOUBLE AS score FROM q JOIN size USING (query_id) JOIN idx USING (term) GROUP BY query_id, doc_id),
+both_ AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, 'a' AS branch FROM bm UNION ALL SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id), 'b' FROM rk)""", body="SELECT query_id, doc_id // 10 AS unit, CAST(sum(CAST(round(1000000.0::DOUBLE / (60 + rank)) AS BIGINT)) AS DOUBLE) / 1000000.0::DOUBLE AS rrf, count(DISTINCT branch) AS branches, string_agg(DISTINCT CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) AS parts FROM both_ WHERE rank <= 70 GROUP BY query_id, unit"))
 def f25_search(spark, sf_dir):
     """Two lexical branches of 70 fused by reciprocal ranks, where the parts of one unit count together."""
     q = asked(spark, sf_dir)
     found = r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id")
-    branches_ = [r.top(scored.withColumn("score", F.round("score", 4)), 70, "doc_id").select("query_id", "doc_id", "rank", F.lit(n).alias("branch")) for n, scored in (("a", r.bm25(found, q, "doc_id")), ("b", r.any_term_rank(found, q, "doc_id")))]
+    branches_ = [r.top(scored, 70, "doc_id").select("query_id", "doc_id", "rank", F.lit(n).alias("branch")) for n, scored in (("a", r.bm25(found, q, "doc_id")), ("b", r.any_term_rank(found, q, "doc_id")))]
     both = branches_[0].unionByName(branches_[1]).withColumn("unit", F.expr("doc_id div 10"))
-    return both.groupBy("query_id", "unit").agg(F.round(F.sum(1.0 / (60 + F.col("rank"))), 6).alias("rrf"), F.count_distinct("branch").alias("branches"), F.array_join(F.array_sort(F.collect_set(F.col("doc_id").cast("string"))), ",").alias("parts"))
+    return both.groupBy("query_id", "unit").agg((F.sum(F.round(1e6 / (60 + F.col("rank"))).cast("long")) / 1e6).alias("rrf"), F.count_distinct("branch").alias("branches"), F.array_join(F.array_sort(F.collect_set(F.col("doc_id").cast("string"))), ",").alias("parts"))
