@@ -3,7 +3,7 @@
 A payload is stored as the 8-bit samples of a WAV file. A rolling gear hash over the file's bytes cuts it into chunks:
 a cut lies where the hash of the last 16 bytes has its mask bits clear, between the least and the most size. A chunk's
 digest names it. A first, narrow pass counts digests with a grouped aggregation; those that occur twice or more set
-bits in a Bloom filter of fixed size. In the second pass a chunk that the filter doesn't know is unique and stays in
+bits in a Bloom filter, 16 bits for each of them up to a bound. In the second pass a chunk that the filter doesn't know is unique and stays in
 its document's row; any other goes to the shared chunks, which are made distinct by digest. A document's row is its
 manifest: the ordered digests of its chunks. To read media back, manifests join the shared chunks by digest; equal
 media are read once and joined with their copies. Every reassembled file is checked against its stored digest, and all
@@ -28,14 +28,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, written
+from .common import discard, shared_dir, slices, written
 
 UNIT = 192
 RATE = 8000
 LEAST, MOST = 512, 16384
 #: A cut where these bits of the 16-bit gear hash are clear: once in 2,048 bytes.
 MASK = 0x7FF0
-FILTER_BITS = 1 << 26
+#: The least and the most bits of the filter: 8 KiB and 128 MiB. A filter over its bound knows more chunks than repeat.
+FILTER_LEAST, FILTER_MOST = 1 << 16, 1 << 30
 LEVEL = 6
 
 _state = 0x2545F4914F6CDD1D
@@ -116,10 +117,10 @@ _FEATURES = "payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, med
 _FEATURE_TYPES = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "feature": pa.string()}
 
 
-def filter_places(digests: np.ndarray) -> np.ndarray:
-    """The filter's bits (three columns) of digests, rows of two unsigned 64-bit numbers."""
+def filter_places(digests: np.ndarray, bits: int) -> np.ndarray:
+    """The bits (three columns) of a filter of so many bits for digests, rows of two unsigned 64-bit numbers."""
     a, b = digests[:, 0], digests[:, 1]
-    return np.stack([(a + np.uint64(k) * b) % np.uint64(FILTER_BITS) for k in range(3)], axis=1)
+    return np.stack([(a + np.uint64(k) * b) % np.uint64(bits) for k in range(3)], axis=1)
 
 
 def _count_digests(df: DataFrame, text: str) -> DataFrame:
@@ -132,19 +133,21 @@ def _count_digests(df: DataFrame, text: str) -> DataFrame:
 
 
 def repeat_filter(df: DataFrame, text: str = "text") -> np.ndarray:
-    """The Bloom filter of the digests that occur twice or more, as bytes; FILTER_BITS / 8 of them whatever the input."""
+    """The Bloom filter of the digests that occur twice or more, as bytes; sized by their counted number."""
+    repeated = written(_count_digests(df, text).filter("n > 1").select("digest"), "repeated")
+    size = max(FILTER_LEAST, min(FILTER_MOST, 1 << (16 * repeated.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column("digest").to_pylist()), "<u8").reshape(-1, 2)
-            places = np.unique(filter_places(raw).ravel()).astype(np.int64)
+            places = np.unique(filter_places(raw, size).ravel()).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(places >> 6), pa.array((np.int64(1) << (places & 63)))], names=["word", "bits"])
 
-    repeated = _count_digests(df, text).filter("n > 1").select("digest")
     words = repeated.mapInArrow(run, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for part in words.toArrow().to_batches():  # at most FILTER_BITS / 64 rows
+    out = np.zeros(size // 64, np.int64)
+    for part in words.toArrow().to_batches():  # at most size / 64 rows
         out[part.column("word").to_numpy()] = part.column("bits").to_numpy()
+    discard(repeated)
     return out.view(np.uint8)
 
 
@@ -176,7 +179,7 @@ class MediaStore:
                 parts = [chunks_of(w) for w in wavs]
                 digests = [[digest_of(c) for c in own] for own in parts]
                 raw = np.frombuffer(b"".join(d for own in digests for d in own), "<u8").reshape(-1, 2)
-                places = filter_places(raw)
+                places = filter_places(raw, 8 * len(known.value))
                 hit = ((known.value[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1).tolist()
                 k, shared = 0, []
                 for i, row, wav, own, names in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), wavs, parts, digests, strict=True):
