@@ -7,8 +7,9 @@ MIN_GROUP measured documents takes the thresholds of its language, a small langu
 
 A threshold is the group's median plus (or minus) SPREAD times the distance from its 5 % quantile to its median, plus
 a margin. The lower half measures the spread because junk only ever lies above, so junk doesn't widen the fence until
-it is half of a group. Documents join their group's thresholds: broadcast if their counted rows are few, else by salted
-keys. Texts are never shuffled: one scan feeds the sketches, a second one gives the verdicts.
+it is half of a group. One scan feeds the sketches, a second one gives the verdicts. Documents join their group's
+thresholds: broadcast, if their counted rows are few, so that no text is shuffled; beyond BROADCAST_ROWS groups by salted
+keys, which shuffles the documents once and gives the same rows.
 
 Everything on the path is a DataFrame function. A null text has no words, fails the base rule and isn't kept; so does
 any text under 50 words. Null languages and sources are groups of their own. Repeated rows count as often as they

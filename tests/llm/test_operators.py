@@ -158,6 +158,12 @@ def test_quality_many_repeats_take_the_sorted_path(spark):
     assert got.n_repeat_words == plain_measures(text)[4]
 
 
+def test_quality_joins_alike_whatever_the_number_of_groups(docs, monkeypatch):
+    want = sorted((str(r.doc_id), str(r.text)[:40], r.n_words, r.kept) for r in quality.judge(docs).collect())
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", -1)
+    assert sorted((str(r.doc_id), str(r.text)[:40], r.n_words, r.kept) for r in quality.judge(docs).collect()) == want
+
+
 def test_quality_sketch_is_mergeable_and_near(spark):
     values = [((i * 7919) % 5000,) for i in range(5000)]
     df = spark.createDataFrame(values, "v bigint").withColumn("bin", quality.bin_of(F.col("v")))
@@ -398,11 +404,19 @@ def test_media_round_trip(docs, clashing, empty, monkeypatch):
         data = (t or "").encode()
         payload = data.ljust(max(1, -(-len(data) // 192)) * 192)
         wav = media.wav_of(payload)
-        want[i, len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(wav), hashlib.sha256(wav).hexdigest()] += 1
-    assert Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256) for r in got) == want
+        centred = [b - 128 for b in payload]
+        bins = [sum(b >> 5 == k for b in payload) for k in range(8)]
+        crossings = sum((a < 0) != (b < 0) for a, b in zip(centred, centred[1:], strict=False))
+        feature = f"n={len(payload)};sum={sum(payload)};energy={sum(c * c for c in centred)};crossings={crossings};bins={'/'.join(map(str, bins))}"
+        want[feature, i, len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(wav), hashlib.sha256(wav).hexdigest()] += 1
+    assert Counter((r.feature, r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes, r.media_sha256) for r in got) == want
     digests = [r.digest for r in store.chunks.collect()]
     assert len(digests) == len(set(map(bytes, digests))) > 0
     assert media.MediaStore.write(empty).read().count() == 0
+    monkeypatch.setattr(media, "FILTER_LEAST", 64)
+    monkeypatch.setattr(media, "FILTER_MOST", 64)  # a filter that knows nearly all only shuffles more
+    crowded = media.MediaStore.write(clashing)
+    assert sorted(map(tuple, crowded.read().collect()), key=str) == sorted(map(tuple, got), key=str)
 
 
 def test_media_chunks_survive_an_insertion():
