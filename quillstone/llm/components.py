@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import discard, fresh_name, written
 
+#: Copies of one key beyond which its rows are not shuffled by it.
+HOT_COPIES = 1_000_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the edges (a, b); root is one node of the component, the same for all of it.
@@ -42,15 +45,19 @@ def classes(docs: DataFrame, links, key: str) -> DataFrame:
 
     root tells components apart; component_id is the smallest doc_id of the component, null if none has an id.
     """
-    low = written(docs.groupBy(key).agg(F.min("doc_id").alias("low")), "distinct")
+    low = written(docs.groupBy(key).agg(F.min("doc_id").alias("low"), F.count("*").alias("copies")), "distinct")
     roots = components(links(low))
     linked = roots.toDF(key, "root").join(low, key)
     lowest = linked.groupBy("root").agg(F.min("low").alias("component"))
     of_linked = linked.join(lowest, "root").select(key, "root", "component", F.lit(True).alias("linked"))
-    # written, so that the join below reads plain shuffles, of which a hot key's can be split
     found = low.join(of_linked, key, "left")
-    of_key = written(found.select(key, F.coalesce("root", key).alias("root"), F.when(F.col("linked"), F.col("component")).otherwise(F.col("low")).alias("component_id")), "classes")
-    out = written(docs.join(of_key, key).select("doc_id", key, "root", "component_id"), "members")
+    of_key = written(found.select(key, "copies", F.coalesce("root", key).alias("root"), F.when(F.col("linked"), F.col("component")).otherwise(F.col("low")).alias("component_id")), "classes")
+    # keys of many copies are few, at most a row for HOT_COPIES rows: they are broadcast, so that no task gets all copies
+    hot, names = of_key.filter(F.col("copies") > HOT_COPIES).drop("copies"), ["doc_id", key, "root", "component_id"]
+    members = docs.join(of_key.filter(F.col("copies") <= HOT_COPIES), key).select(names)
+    if not hot.isEmpty():
+        members = members.unionByName(docs.join(F.broadcast(hot), key).select(names))
+    out = written(members, "members")
     discard(low, of_key, roots)
     return out
 

@@ -115,13 +115,30 @@ def test_simhash_links_all_close_fingerprints(spark):
     assert sorted(map(sorted, classes.values())) == sorted(map(sorted, want.values()))
 
 
-def test_simhash_keeps_one_of_each_group(docs, clashing, empty):
+def test_simhash_keeps_one_of_each_group(spark, docs, clashing, empty, monkeypatch):
+    from quillstone.llm import components
+
+    found = simhash.cluster(docs).collect()
     kept = simhash.keep_one(clashing)
     assert kept.columns == clashing.columns
     ids = Counter(r.doc_id for r in kept.collect())
-    want = {r.component_id for r in simhash.cluster(docs).collect()}
-    assert set(ids) == want and max(ids.values()) == 1
+    roots = {}
+    for r in found:
+        roots.setdefault(r.root, []).append((r.doc_id is None, r.doc_id or 0))
+    assert ids == Counter(None if bare else i for bare, i in map(min, roots.values()))
     assert simhash.keep_one(empty).count() == 0 and simhash.cluster(empty).count() == 0
+    monkeypatch.setattr(components, "HOT_COPIES", 1)
+    key = lambda r: (str(r.doc_id), r.fp, str(r.component_id))
+    assert sorted(map(key, simhash.cluster(docs).collect())) == sorted(map(key, found))
+
+
+def test_simhash_tells_documents_of_one_id_apart(spark):
+    far = " ".join(f"other{i}" for i in range(80))
+    rows = [(5, PROSE[0], "en", "s", 1), (5, far, "en", "s", 2), (3, far, "en", "s", 3), (5, PROSE[0], "en", "s", 1), (7, PROSE[1], "en", "s", 1), (7, PROSE[2], "en", "s", 1)]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect())
+    assert kept == sorted([(5, PROSE[0]), (3, far), (7, PROSE[1]), (7, PROSE[2])])
+    again = sorted((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows[::-1], SCHEMA)).collect())
+    assert again == kept
 
 
 # --- quality rules
