@@ -134,3 +134,61 @@ def validity_of(text: Column) -> Column:
 def references_in(text: Column) -> Column:
     """The numbers of the points that a text refers to."""
     return F.transform(F.regexp_extract_all(text, F.lit(r"(?iU)\b(?:пункт\w*|п\.)\s*(\d{1,3})"), F.lit(1)), lambda n: n.cast("bigint"))
+
+
+def without_prefix(text: Column, literal: str) -> Column:
+    """A text without a printed phrase at its start, in any inflection: each word by its stem and up to three letters more."""
+    words = [rf"{_escaped(w[: max(3, len(w) - 3)])}\p{{L}}{{0,{3 + len(w) - max(3, len(w) - 3)}}}" if len(w) > 3 else _escaped(w) for w in literal.split()]
+    return F.regexp_replace(text, r"(?iuU)^\s*" + r"\s+".join(words) + r"(?!\p{L})[\s:.,–-]*", "")
+
+
+def _escaped(literal: str) -> str:
+    import re
+
+    return re.escape(literal)
+
+
+def looked_up(df: DataFrame, text: str, aliases: DataFrame, key: str, least: int = 5) -> DataFrame:
+    """(key, code) of df by a dictionary (alias, code): the whole text, else the longest stem of a text that is an alias's.
+
+    Up to three letters are cut from the end, none below `least`; an alias that two codes share gives none. The dictionary
+    is counted and broadcast only if small.
+    """
+    known = aliases.select(F.lower(F.trim("alias")).alias("alias"), "code").groupBy("alias").agg(F.min("code").alias("code"), F.count_distinct("code").alias("n")).filter("n = 1").drop("n")
+    known = F.broadcast(known) if known.count() <= 100_000 else known
+    low = F.lower(F.trim(F.col(text)))
+    stems = F.filter(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.when((k == 0) | (F.length(low) - k >= least), F.substring(low, F.lit(1), F.length(low) - k))), lambda s: s.isNotNull())
+    asked = df.select(key, F.explode_outer(stems).alias("alias"))
+    found = asked.join(known, "alias").groupBy(key).agg(F.max_by("code", F.length("alias")).alias("code"))
+    return df.select(key).join(found, key, "left")
+
+
+def translated(df: DataFrame, text: str, cache: DataFrame, lang: str, model: Column | None = None) -> DataFrame:
+    """Adds shown and source: from a cache (lang, text, shown), else from a model if there is one, else the text itself."""
+    own = cache.filter(F.col("lang") == lang).groupBy(F.col("text").alias("_text")).agg(F.min("shown").alias("_shown"))
+    out = df.join(own, F.col(text) == F.col("_text"), "left")
+    other = F.lit(None).cast("string") if model is None else model
+    source = F.when(F.col("_shown").isNotNull(), "cache").when(other.isNotNull(), "model").otherwise("as it is")
+    return out.withColumns({"shown": F.coalesce("_shown", other, F.col(text)), "source": source}).drop("_text", "_shown")
+
+
+#: The slots of a form in the order in which it asks for them, and what an answer to each must look like.
+FORM_SLOTS = (("person", r"^\p{L}[\p{L}’' -]{2,}$"), ("start", r"^\d{1,2}\.\d{1,2}\.\d{4}$"), ("days", r"^\d{1,3}$"), ("place", r"^\p{L}.*$"))
+
+
+def form_dialogue(turns: DataFrame, keys: list[str], order: list[str], said: str) -> DataFrame:
+    """(keys, step, asks, rejected, filled) after the last turn of each dialogue: an answer fills the slot asked for if it fits.
+
+    An answer that doesn't fit is asked for again. "скасувати" begins anew. A fold over a dialogue's turns, in order.
+    """
+    each = turns.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(said).alias("_said")))), lambda x: x["_said"]).alias("_turns"))  # a dialogue
+    forms = F.array(*[F.lit(p) for _, p in FORM_SLOTS])
+    start = F.struct(F.lit(0).alias("step"), F.lit(0).alias("rejected"), F.array().cast("array<string>").alias("filled"))
+
+    def fold(s: Column, answer: Column) -> Column:
+        open_, again = s["step"] < len(FORM_SLOTS), F.lower(F.trim(answer)) == "скасувати"
+        fits = F.call_function("rlike", F.trim(answer), F.get(forms, s["step"]))
+        return F.when(again, start).when(~open_, s).when(fits, F.struct((s["step"] + 1).alias("step"), s["rejected"].alias("rejected"), F.concat(s["filled"], F.array(F.trim(answer))).alias("filled"))).otherwise(F.struct(s["step"].alias("step"), (s["rejected"] + 1).alias("rejected"), s["filled"].alias("filled")))
+
+    state = each.select(*keys, F.aggregate("_turns", start, fold).alias("s"))
+    return state.select(*keys, F.col("s.step").alias("step"), F.get(F.array(*[F.lit(n) for n, _ in FORM_SLOTS]), F.col("s.step")).alias("asks"), F.col("s.rejected").alias("rejected"), F.array_join("s.filled", "|").alias("filled"))

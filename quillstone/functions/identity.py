@@ -168,3 +168,26 @@ def without_identifiers(question: Column) -> Column:
     for p in ASKED:
         rest = F.regexp_replace(rest, p, " ")
     return F.trim(F.regexp_replace(F.regexp_replace(rest, BESIDE_NUMBERS, " "), r"\s+", " "))
+
+
+# Fixed pattern: a file named by its act: an order's number and day, or a law's number.
+ORDER_FILE = r"(?iU)наказ\w*[\s_№-]*(\d{1,5})(?:[\s_]*(?:від)?[\s_]*(\d{2}\.\d{2}\.\d{4}))?"
+LAW_FILE = r"(?iU)(?:закон\w*|кодекс\w*)[\s_№]*(\d{2,5}-[IVXLC]{1,6})"
+#: Marks by which a text is known as an act: its title, or two formal words of an act.
+ACT_TITLE = r"(?iuU)^\s*(?:закон\w*|наказ|указ|постанова|кодекс|положення|інструкція|нормативний\s+документ|затверджено)(?!\p{L})"
+ACT_WORDS = ("наказую", "набирає чинності", "цей закон", "відповідно до", "зареєстровано", "відомості верховної ради", "президент україни", "загальні положення")
+
+
+def named_by_file(name: Column, text: Column, found: Column) -> Column:
+    """(identifier, source, confidence): from the file's name if it names an act, else what the text states (identity_of)."""
+    order = F.when(_first(name, ORDER_FILE).isNotNull(), F.concat(F.lit("наказ № "), _first(name, ORDER_FILE), F.coalesce(F.concat(F.lit(" від "), _first(name, ORDER_FILE, 2)), F.lit(""))))
+    law = F.concat(F.lit("№ "), _first(name, LAW_FILE))
+    by_name = F.coalesce(order, law)
+    return F.struct(F.coalesce(by_name, found["identifier"]).alias("identifier"), F.when(by_name.isNotNull(), "file name").when(found["identifier"].isNotNull(), "text").alias("source"), F.when(by_name.isNotNull(), 0.95).otherwise(found["confidence"]).alias("confidence"))
+
+
+def is_act(text: Column) -> Column:
+    """Whether a text is an act, which is settled before any domain is scored: by its title, or by two formal words."""
+    head = F.lower(head_of(text))
+    words = sum((head.contains(w).cast("int") for w in ACT_WORDS), F.lit(0))
+    return head.rlike(ACT_TITLE) | (words >= 2)

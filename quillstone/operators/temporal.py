@@ -102,3 +102,13 @@ def merged_values(facts: DataFrame) -> DataFrame:
     runs = f.groupBy("object_id", "dimension", "_run").agg(F.min_by("id", F.struct("valid_from", "id")).alias("id"), F.min("valid_from").alias("valid_from"), F.count("*").alias("copies"), F.count_distinct("source_doc_id").alias("sources"))
     closed = F.lead("valid_from").over(Window.partitionBy("object_id", "dimension").orderBy("_run"))
     return runs.select("id", "object_id", "dimension", "valid_from", closed.alias("closed_at"), "copies", "sources")
+
+
+def claims(tasks: DataFrame, order: list[Column], workers: int, each: int = 1) -> DataFrame:
+    """Adds worker to the first tasks in an order, `each` for each of so many workers, dealt in turn: no task comes twice.
+
+    The first are taken before they are numbered, so only workers times each rows meet in one task.
+    """
+    first = tasks.orderBy(*order).limit(workers * each)
+    place = F.row_number().over(Window.orderBy(*order))
+    return first.withColumn("worker", ((place - 1) % workers).cast("long"))

@@ -58,10 +58,3 @@ def d13(spark, sf_dir):
 def f41(spark, sf_dir):
     day = F.when(F.col("turn") % 3 == 0, "2026-02-30").when(F.col("turn") % 3 == 1, "2026-02-28").otherwise("31.04.2025")
     return v.table(spark, sf_dir, "conversations").withColumn("day", day).filter(x.impossible_date(F.col("day"))).select("conv_id", "turn", "day")
-
-
-@register("f45_form_slots", v.sql(v.FACTS_SQL, v.PEOPLE_SQL, body="SELECT id, CASE WHEN name IS NULL THEN 'person' WHEN valid_from IS NULL THEN 'start' WHEN valid_to IS NULL THEN 'end' WHEN valid_to < valid_from THEN 'order' END AS asks, CASE WHEN valid_to >= valid_from THEN CAST(valid_to - valid_from + 1 AS BIGINT) END AS days FROM facts LEFT JOIN people USING (object_id)"))
-def f45(spark, sf_dir):
-    f = v.facts(spark, sf_dir).join(v.people(spark, sf_dir).select("object_id", "name"), "object_id", "left")
-    asks = F.when(F.col("name").isNull(), "person").when(F.col("valid_from").isNull(), "start").when(F.col("valid_to").isNull(), "end").when(F.col("valid_to") < F.col("valid_from"), "order")
-    return f.select("id", asks.alias("asks"), F.when(F.col("valid_to") >= F.col("valid_from"), (F.datediff("valid_to", "valid_from") + 1).cast("long")).alias("days"))

@@ -25,13 +25,6 @@ def f12(spark, sf_dir):
     return c.filter(side.isNotNull()).groupBy("page").agg(F.min_by("block", order).alias("block"))
 
 
-@register("f42_anchor_prefix", "SELECT doc_id, length(text) - length(regexp_replace(text, '^(?:[Tt]he|[Aa]nd|[Oo]f)[a-z]{0,3} ', '')) AS cut FROM documents")
-def f42(spark, sf_dir):
-    """How much of a text is a literal prefix in any inflection: the stem, then up to three letters."""
-    rest = F.regexp_replace("text", "^(?:[Tt]he|[Aa]nd|[Oo]f)[a-z]{0,3} ", "")
-    return v.table(spark, sf_dir, "documents").select("doc_id", (F.length("text") - F.length(rest)).cast("long").alias("cut"))
-
-
 @register("f05_evaluator_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 2 THEN '31 february 2001' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS canonical FROM orders")
 def f05(spark, sf_dir):
     """A date as the evaluator compares it: ISO from ISO, d.m.yyyy or d month yyyy; an impossible one stays as it is."""

@@ -117,16 +117,6 @@ def k06(spark, sf_dir):
     return v.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(lines, ",").alias("lines"))
 
 
-@register("f08_dictionary_lookup", "SELECT c_custkey, code FROM customer LEFT JOIN (VALUES ('machinery', 'M'), ('household', 'H'), ('build', 'B')) d(alias, code) ON lower(c_mktsegment) = alias OR (lower(c_mktsegment) LIKE alias || '%' AND length(alias) = 5)")
-def f08(spark, sf_dir):
-    """By exact alias, else by a stem of five letters."""
-    aliases = spark.createDataFrame([("machinery", "M"), ("household", "H"), ("build", "B")], "alias string, code string")
-    c = v.table(spark, sf_dir, "customer").select("c_custkey", F.lower("c_mktsegment").alias("alias"))
-    exact, stem = aliases.toDF("alias", "exact"), aliases.toDF("stem", "by_stem")
-    out = c.withColumn("stem", F.substring("alias", 1, 5)).join(F.broadcast(exact), "alias", "left").join(F.broadcast(stem), "stem", "left")  # three fixed rows
-    return out.select("c_custkey", F.coalesce("exact", "by_stem").alias("code"))
-
-
 @register("f16_subject_kind", v.sql(v.REGISTRY_SQL, body="SELECT id, coalesce(CASE WHEN id % 11 = 0 THEN 'equipment' END, CASE domain WHEN 'leave' THEN 'person' WHEN 'deployment' THEN 'person' WHEN 'normative' THEN 'act' END, CASE WHEN contains(text, '@') THEN 'person' END, 'unknown') AS kind FROM registry"))
 def f16(spark, sf_dir):
     schema = F.when(F.col("id") % 11 == 0, "equipment")
@@ -193,12 +183,6 @@ def f35(spark, sf_dir):
     return b.join(there, "query_id", "left").select(F.col("query_id").alias("item_id"), F.col("there").isNull().alias("absent"))
 
 
-@register("f49_translation_cache", "SELECT event_type, coalesce(shown, event_type) AS shown, count(*) AS n FROM events LEFT JOIN (VALUES ('view', 'Ansicht'), ('click', 'Klick')) t(event_type, shown) USING (event_type) GROUP BY ALL")
-def f49(spark, sf_dir):
-    known = F.create_map(F.lit("view"), F.lit("Ansicht"), F.lit("click"), F.lit("Klick"))
-    return v.table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n")).select("event_type", F.coalesce(known[F.col("event_type")], F.col("event_type")).alias("shown"), "n")
-
-
 @register("s14_embed_missing")
 def s14(spark, sf_dir):
     """Documents that have no vector yet get one: a signed hash of their lexemes in 64 dimensions, scaled to length 1.

@@ -173,3 +173,52 @@ def f34(spark, sf_dir):
     asked = v.table(spark, sf_dir, "conversations").filter("role = 'user'").select(F.explode(x.lexemes(F.col("text"))).alias("term")).distinct()
     hits = r.inverted_index(v.table(spark, sf_dir, "documents"), "doc_id").select("term").join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("hits"))
     return hits.filter("hits <= 5")
+
+
+PHRASES = ("Дійсний до", "Терміном на", "Звільнений у відпустку")
+INFLECTED = ("дійсні до: 5 травня", "ТЕРМІНОМ НА 10 діб", "Звільнена  у відпустці – Київ", "дійсний документ", "на термін 5 діб")
+BARE = ("5 травня", "10 діб", "Київ", "дійсний документ", "на термін 5 діб")
+
+
+@register("f42_anchor_prefix", f"SELECT o_orderkey, {listed(*BARE)}[o_orderkey % 5 + 1] AS value FROM orders")
+def f42(spark, sf_dir):
+    """The value behind a printed phrase, whatever its inflection; what isn't the phrase stays."""
+    value = chosen(INFLECTED, F.col("o_orderkey") % 5)
+    for phrase in PHRASES:
+        value = f.without_prefix(value, phrase)
+    return v.table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value"))
+
+
+@register("f08_dictionary_lookup", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 3 THEN NULL ELSE r_name END AS code FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def f08(spark, sf_dir):
+    """The code of a word by a dictionary: as it is, or inflected by up to three letters."""
+    aliases = v.table(spark, sf_dir, "nation").join(v.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat("n_name", F.lit("land")).alias("alias"), F.col("r_name").alias("code"))
+    tail = chosen(("", "ом", "ами", "ними"), F.col("s_suppkey") % 4)
+    said = v.table(spark, sf_dir, "supplier").join(v.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.concat(F.lit(" "), F.upper("n_name"), F.lit("LAND"), tail).alias("word"))
+    return f.looked_up(said, "word", aliases, "s_suppkey")
+
+
+@register("f49_translation_cache", "SELECT event_type, CASE event_type WHEN 'view' THEN 'Ansicht' WHEN 'click' THEN 'Klick' ELSE upper(event_type) END AS shown, CASE WHEN event_type IN ('view', 'click') THEN 'cache' WHEN length(event_type) > 5 THEN 'model' ELSE 'as it is' END AS source, count(*) AS n FROM (SELECT CASE WHEN length(event_type) > 5 OR event_type IN ('view', 'click') THEN event_type ELSE upper(event_type) END AS shown_, event_type FROM events) GROUP BY event_type")
+def f49(spark, sf_dir):
+    """Labels in another language: from the cache, from a model (upper case stands in), or as they are."""
+    cache = spark.createDataFrame([("de", "view", "Ansicht"), ("de", "click", "Klick"), ("fr", "view", "Vue")], "lang string, text string, shown string")
+    labels = v.table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    out = f.translated(labels, "event_type", cache, "de", F.when(F.length("event_type") > 5, F.upper("event_type")))
+    return out.select("event_type", F.when(F.col("source") == "as it is", F.upper("shown")).otherwise(F.col("shown")).alias("shown"), "source", "n")
+
+
+ANSWERS = ("Іван Коваль", "1.5.2024", "10", "Київ", "12 xx", "скасувати")
+
+
+@register("f45_form_dialogue", f"""
+WITH RECURSIVE t AS (SELECT o_custkey AS c, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i, CAST(CASE o_orderkey % 16 WHEN 15 THEN 5 WHEN 14 THEN 4 ELSE o_orderkey % 4 END AS INTEGER) AS a FROM orders),
+s AS (SELECT DISTINCT c, CAST(0 AS BIGINT) AS i, 0 AS step, 0 AS rejected, '' AS filled FROM t
+  UNION ALL SELECT s.c, t.i, CASE WHEN a = 5 THEN 0 WHEN step < 4 AND (a = step OR (step IN (0, 3) AND a IN (0, 3))) THEN step + 1 ELSE step END, CASE WHEN a = 5 THEN 0 WHEN step < 4 AND NOT (a = step OR (step IN (0, 3) AND a IN (0, 3))) THEN rejected + 1 ELSE rejected END,
+    CASE WHEN a = 5 THEN '' WHEN step < 4 AND (a = step OR (step IN (0, 3) AND a IN (0, 3))) THEN filled || CASE WHEN step > 0 THEN '|' ELSE '' END || {listed(*ANSWERS)}[a + 1] ELSE filled END FROM s JOIN t ON t.c = s.c AND t.i = s.i + 1)
+SELECT c AS o_custkey, step, ['person', 'start', 'days', 'place'][step + 1] AS asks, rejected, filled FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY i DESC) AS r FROM s) WHERE r = 1""")
+def f45(spark, sf_dir):
+    """Where each customer's form dialogue stands after all their answers, of which some don't fit and some begin anew."""
+    k = F.col("o_orderkey")
+    at = F.when(k % 16 == 15, 5).when(k % 16 == 14, 4).otherwise(k % 4)
+    turns = v.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.concat(F.lit(" "), chosen(ANSWERS, at)).alias("said"))
+    return f.form_dialogue(turns, ["o_custkey"], ["o_orderkey"], "said")

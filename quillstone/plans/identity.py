@@ -105,3 +105,30 @@ SELECT o_orderkey, ['standard', 'law', 'order', 'decree', 'approved', 'untitled'
   CASE form WHEN 0 THEN 0.95 WHEN 1 THEN CASE WHEN signed THEN 0.9 ELSE 0.85 END WHEN 2 THEN 0.9 WHEN 3 THEN 0.8 WHEN 4 THEN 0.8 WHEN 5 THEN CASE WHEN signed THEN 0.75 ELSE 0.45 END ELSE 0.0 END::DOUBLE AS confidence FROM o""")
 def e07(spark, sf_dir):
     return v.table(spark, sf_dir, "orders").select("o_orderkey", written_act().alias("text")).transform(i.identified, "text").select("o_orderkey", "identity.*")
+
+
+@register("e06_identity_source", f"""
+WITH o AS (SELECT o_orderkey AS k, CAST({NUMBER} AS VARCHAR) AS n, CAST({YEAR} AS VARCHAR) AS y, o_orderkey % 7 AS form, o_orderkey // 7 % 4 AS file, ['XII', 'XIV', 'IV', 'V'][o_orderkey % 4 + 1] AS session FROM orders)
+SELECT k AS o_orderkey, CASE file WHEN 0 THEN 'наказ № ' || n || ' від 01.02.' || y WHEN 1 THEN '№ ' || n || '-' || session WHEN 2 THEN 'наказ № ' || n ELSE CASE WHEN form = 2 THEN 'наказ № ' || n || ' від ' || lpad(CAST(k % 28 + 1 AS VARCHAR), 2, '0') || '.' || lpad(CAST(k % 12 + 1 AS VARCHAR), 2, '0') || '.' || y END END AS identifier,
+  CASE WHEN file < 3 THEN 'file name' WHEN form = 2 THEN 'text' END AS source, CASE WHEN file < 3 THEN 0.95 WHEN form = 2 THEN 0.9 ELSE 0.0 END::DOUBLE AS confidence FROM o""")
+def e06(spark, sf_dir):
+    """An act's identity by its file's name, else by its text."""
+    k, n, y, session = _key()
+    file = F.expr("o_orderkey div 7 % 4")
+    name = F.when(file == 0, F.concat(F.lit("Наказ_№_"), n, F.lit("_від_01.02."), y, F.lit(".docx"))).when(file == 1, F.concat(F.lit("закон "), n, F.lit("-"), session, F.lit(".pdf"))).when(file == 2, F.concat(F.lit("наказ-"), n, F.lit(".PDF"))).otherwise("scan_0001.pdf")
+    o = v.table(spark, sf_dir, "orders").select("o_orderkey", name.alias("file"), F.when(k % FORMS == 2, written_act()).otherwise("лист без номера").alias("text"))
+    out = o.transform(i.identified, "text").select("o_orderkey", i.named_by_file(F.col("file"), F.col("text"), F.col("identity")).alias("a"))
+    return out.select("o_orderkey", "a.*")
+
+
+@register("f14_acts_first", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 2, 3, 4) THEN 'procedural' WHEN o_orderkey % 7 = 5 AND o_orderkey % 2 = 0 THEN 'procedural' WHEN o_orderkey % 7 = 5 THEN 'leave' WHEN o_orderkey % 2 = 0 THEN 'deployment' END AS domain FROM orders")
+def f14(spark, sf_dir):
+    """The domain of a paper: an act before all else; then the words of leave and deployment papers, where one kind leads."""
+    k = F.col("o_orderkey")
+    form = k % FORMS
+    text = F.when(form < 5, written_act()).when((form == 5) & (k % 2 == 0), "Про відпустки. Цей закон набирає чинності з дня підписання.").when(form == 5, "Квиток: солдат іде у відпустку, повернутися з відпустки; відрядження немає").when(k % 2 == 0, "Посвідчення про відрядження: термін відрядження, відрядити").otherwise("Лист: відпустка, відрядження")
+    low = F.lower(F.col("text"))
+    count = lambda w: (F.length(low) - F.length(F.replace(low, F.lit(w), F.lit("")))) / len(w)
+    leave, away = count("відпуст"), count("відряд")
+    domain = F.when(i.is_act(F.col("text")), "procedural").when(leave > away, "leave").when(away > leave, "deployment")
+    return v.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text")).select("o_orderkey", domain.alias("domain"))

@@ -145,12 +145,6 @@ def e04(spark, sf_dir):
     return v.table(spark, sf_dir, "documents").select("doc_id", document_number().alias("identifier"))
 
 
-@register("e06_identity_source", "SELECT page_id, coalesce(nullif(regexp_extract(url, '/([0-9]+)', 1), ''), nullif(regexp_extract(html, '<title>([^<]{1,20})', 1), '')) AS identity, CASE WHEN regexp_extract(url, '/([0-9]+)', 1) <> '' THEN 0.95 ELSE 0.6 END::DOUBLE AS confidence FROM pages")
-def e06(spark, sf_dir):
-    number, title = F.regexp_extract("url", "/([0-9]+)", 1), F.regexp_extract("html", "<title>([^<]{1,20})", 1)
-    return v.table(spark, sf_dir, "pages").select("page_id", F.coalesce(F.nullif(number, F.lit("")), F.nullif(title, F.lit(""))).alias("identity"), F.when(number != "", 0.95).otherwise(0.6).alias("confidence"))
-
-
 @register("f46_supersede_action", v.sql(v.FACTS_SQL, overlap_sql("valid_from", ""), "losers AS (SELECT DISTINCT a_id AS id FROM pairs)", body="SELECT f.id, CASE WHEN l.id IS NULL THEN f.status ELSE 'rejected' END AS status FROM facts f LEFT JOIN losers l ON l.id = f.id WHERE f.status = 'confirmed'"))
 def f46(spark, sf_dir):
     f = v.facts(spark, sf_dir).filter("status = 'confirmed'")
@@ -187,3 +181,23 @@ def u01(spark, sf_dir):
     f = v.facts(spark, sf_dir)
     docs = lambda where: f.filter(where).select(F.col("source_doc_id").alias("id"))
     return docs("dimension = '1-URGENT'").union(docs("dimension = '2-HIGH'")).distinct().exceptAll(docs("status = 'rejected' and dimension = '3-MEDIUM'").distinct())
+
+
+@register("f46_supersede_and_recommit", v.sql(v.FACTS_SQL, overlap_sql("valid_from", ""), "losers AS (SELECT DISTINCT source_doc_id AS doc FROM facts WHERE id IN (SELECT a_id FROM pairs WHERE a_id % 50 = 0))", "left_ AS (SELECT * FROM facts WHERE status = 'confirmed' AND source_doc_id NOT IN (SELECT doc FROM losers))", "ranked AS (SELECT *, valid_from IS NOT NULL AND row_number() OVER (PARTITION BY object_id, dimension, valid_from ORDER BY id) = 1 AS good FROM left_)", body="SELECT id, CASE WHEN good THEN lead(valid_from) OVER (PARTITION BY object_id, dimension, good ORDER BY valid_from, id) END AS closed_at, CASE WHEN good THEN 'confirmed' ELSE 'unconfirmed' END AS status FROM ranked UNION ALL SELECT id, NULL, 'rejected' FROM facts WHERE status = 'confirmed' AND source_doc_id IN (SELECT doc FROM losers)"))
+def f46_recommit(spark, sf_dir):
+    """Documents that a person has ruled out in a conflict lose all their facts; what is left is committed anew.
+
+    Rulings here are the overlaps whose first fact has a round number.
+    """
+    f = v.facts(spark, sf_dir).filter("status = 'confirmed'")
+    ruled = t.overlaps(f, "point", []).filter("a_id % 50 = 0").select(F.col("a_id").alias("id"))
+    docs = f.join(ruled, "id", "left_semi").select("source_doc_id").distinct()
+    kept = t.supersede(f.join(docs, "source_doc_id", "left_anti")).select("id", "closed_at", F.col("new_status").alias("status"))
+    gone = f.join(docs, "source_doc_id", "left_semi").select("id", F.lit(None).cast("date").alias("closed_at"), F.lit("rejected").alias("status"))
+    return kept.unionByName(gone)
+
+
+@register("k05_queue_claims", v.sql(v.FACTS_SQL, v.QUEUE_SQL, body="SELECT (place - 1) % 4 AS worker, fact_id, queue_type FROM (SELECT *, row_number() OVER (ORDER BY CASE queue_type WHEN 'new_person' THEN 0 WHEN 'date_conflict' THEN 1 ELSE 2 END, fact_id) AS place FROM queue WHERE NOT resolved) WHERE place <= 4"))
+def k05(spark, sf_dir):
+    """The next open task for each of four workers, none twice: by kind, then by age."""
+    return t.claims(v.review_queue(spark, sf_dir).filter("not resolved"), [F.when(F.col("queue_type") == "new_person", 0).when(F.col("queue_type") == "date_conflict", 1).otherwise(2), F.col("fact_id")], 4).select("worker", "fact_id", "queue_type")
