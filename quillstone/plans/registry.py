@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from . import catalog, dialogue, extraction, fields, forms, identity, maintenance, metrics, retrieval, routing, scans, texts  # noqa: F401
+    from . import catalog, dialogue, extraction, fields, forms, identity, maintenance, metrics, retrieval, routing, scans, streams, texts  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
