@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import impossible_date
@@ -102,3 +102,36 @@ def routed(question: Column, known: Column) -> Column:
     ]
     template = reduce(lambda rest, rule: F.when(rule[1], F.lit(rule[0])).otherwise(rest), reversed(rules), F.lit(None).cast("string"))
     return F.struct(template.alias("template"), state.alias("state"), F.coalesce(record, number).alias("number"), F.when(unit["named"], unit["known"]).alias("subdivision"), F.get(days, F.lit(0)).alias("date_from"), F.get(days, F.lit(1)).alias("date_to"))
+
+
+# Words that begin with a capital in questions without being names, and words before a place.
+NO_NAMES = ("хто", "що", "де", "скільки", "скільком", "коли", "чи", "покажи", "який", "яка", "які", "розкажи")
+BEFORE_PLACE = r"(?U)(?<!\p{L})(?:у|в|до|з|із|під|біля)\s+(\p{Lu}[\p{L}’'-]{2,}(?:\s\p{Lu}[\p{L}’'-]{2,})?)"
+
+
+def matched_names(questions: DataFrame, key: str, question: str, names: DataFrame) -> DataFrame:
+    """(key, name) of questions that name somebody of names (name): a word with a capital that inflects the name.
+
+    An inflected name has the name's stem, all but three letters and five at least, and is at most two letters longer. Words
+    meet names by their first four letters. A question that fits several names has none; one that fits none, null.
+    """
+    words = F.filter(F.regexp_extract_all(question, F.lit(r"(?U)\p{Lu}[\p{L}’'-]{2,}"), F.lit(0)), lambda w: ~F.lower(w).isin(*NO_NAMES))
+    asked = questions.select(key, F.explode(F.transform(words, F.lower)).alias("_word")).withColumn("_head", F.substring("_word", 1, 4))
+    known = names.select("name").distinct().select("name", F.lower("name").alias("_low"))
+    known = known.select("name", F.length("_low").alias("_n"), F.substring("_low", 1, 4).alias("_head"), F.substring(F.col("_low"), F.lit(1), F.greatest(F.lit(5), F.length("_low") - 3)).alias("_stem"))
+    met = asked.join(known, "_head").filter(F.startswith("_word", F.col("_stem")) & (F.length("_word") <= F.col("_n") + 2))
+    one = met.groupBy(key).agg(F.min("name").alias("name"), F.max("name").alias("_last")).filter("name = _last").drop("_last")
+    return questions.select(key).join(one, key, "left")
+
+
+def matched_places(questions: DataFrame, key: str, question: str, places: DataFrame) -> DataFrame:
+    """(key, said, place): what stands where a place would, and the place of places (place) that it inflects; null if unknown.
+
+    Up to three letters of each word differ at the end; words of three letters keep two. The longest place wins.
+    """
+    said = F.nullif(F.regexp_extract(question, BEFORE_PLACE, 1), F.lit(""))
+    asked = questions.select(key, said.alias("said"))
+    forms = F.transform(F.split(F.lower("place"), r"\s+"), lambda w: F.concat(F.substring(w, F.lit(1), F.greatest(F.lit(2), F.length(w) - 3)), F.lit(r"\p{L}{0,5}")))
+    known = places.select("place").distinct().withColumns({"_form": F.concat(F.lit("^"), F.array_join(forms, r"\s"), F.lit("$")), "_head": F.substring(F.lower("place"), 1, 2)})
+    met = asked.withColumn("_head", F.substring(F.lower("said"), 1, 2)).join(known, "_head").filter(F.call_function("rlike", F.lower("said"), F.col("_form")))
+    return asked.join(met.groupBy(key).agg(F.max_by("place", F.length("place")).alias("place")), key, "left")

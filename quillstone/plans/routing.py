@@ -72,3 +72,26 @@ def d01_router(spark, sf_dir):
     known = units.agg(F.array_sort(F.collect_list("name")).alias("known"))  # one row of a bounded roster of subdivisions
     q = questions(spark, sf_dir).crossJoin(F.broadcast(known))
     return q.select("c_custkey", routing.routed(F.col("question"), F.col("known")).alias("r")).select("c_custkey", "r.*")
+
+
+# Names as questions inflect them, and the names of the roster; the last two are nobody's, or could be two people's.
+ASKED_NAMES = ("Крижанівського", "Данильчуку", "Килимником", "Мороза", "Богодаровича", "Стецюка")
+ROSTER = ("Крижанівський", "Данильчук", "Килимник", "Мороз", "Богодар", "Стецюк", "Стецюкевич")
+
+
+@register("d05_name_in_question", "SELECT c_custkey, ['Крижанівський', 'Данильчук', 'Килимник', 'Мороз', NULL, 'Стецюк'][c_custkey % 6 + 1] AS name FROM customer")
+def d05(spark, sf_dir):
+    """Whom a question names: by the roster, in any case, and nobody whose name only begins alike."""
+    k = (F.col("c_custkey") % 6).cast("int")
+    q = v.table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("Що відомо про "), F.get(F.array(*[F.lit(n) for n in ASKED_NAMES]), k), F.lit(" зараз?")).alias("question"))
+    return routing.matched_names(q, "c_custkey", "question", spark.createDataFrame([(n,) for n in ROSTER], "name string"))
+
+
+ASKED_PLACES = ("Хто ще у Смерековому?", "Кого відправили до Вербівки", "Хто зараз в Дубовому Гаї", "Хто поїхав до Атлантиди", "Хто у відпустці?")
+
+
+@register("d07_place_in_question", "SELECT c_custkey, ['Смерековому', 'Вербівки', 'Дубовому Гаї', 'Атлантиди', NULL][c_custkey % 5 + 1] AS said, ['Смерекове', 'Вербівка', 'Дубовий Гай', NULL, NULL][c_custkey % 5 + 1] AS place FROM customer")
+def d07(spark, sf_dir):
+    """Which place a question means, by the places that the data hold; one that they don't hold is told apart from none."""
+    q = v.table(spark, sf_dir, "customer").select("c_custkey", F.get(F.array(*[F.lit(p) for p in ASKED_PLACES]), (F.col("c_custkey") % 5).cast("int")).alias("question"))
+    return routing.matched_places(q, "c_custkey", "question", spark.createDataFrame([(p,) for p in ("Смерекове", "Вербівка", "Дубовий Гай", "Криниця")], "place string"))

@@ -312,3 +312,39 @@ def test_catalogs(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("a", "Über"), ("b", None)]
     assert readers.read_catalog(spark, str(tmp_path / "c.yaml"), "words", "alias string, code string").count() == 2
     assert readers.read_catalog(spark, str(tmp_path / "c.yaml"), "none", "id string").count() == 0
+
+
+def test_made_up_papers_are_read_back(spark):
+    """What a roster's papers say is what the form functions read from them."""
+    from quillstone.functions import forms
+    from quillstone.plans.forms import TEMPLATES
+    from quillstone.sources import generators
+
+    people = generators.roster(spark)
+    rows = people.collect()
+    assert len(people.columns) == 37 and len({r.service_id for r in rows}) == 300
+    assert [sum(r.subdivision == u for r in rows) for u in generators.UNITS] == [15, 90, 90, 90, 15]
+    assert all(r.birth_date < r.service_entry_date < r.enrollment_date <= r.position_assigned_date for r in rows)
+    assert rows == generators.roster(spark).collect() and rows != generators.roster(spark, seed=7).collect()
+    made = generators.papers(people)
+    when = F.regexp_extract("text", r"з (\d+) (\p{L}+) (\d{4})", 0)
+    read = made.select(
+        "*",
+        forms.identified_template(F.col("text"), TEMPLATES)["template"].alias("template"),
+        forms.rank_and_name(F.element_at(F.split("text", "\n"), 2)).alias("who"),
+        forms.date_of_parts(*(F.regexp_extract(when, r"(\d+) (\p{L}+) (\d{4})", i) for i in (1, 2, 3))).alias("day"),
+        forms.attested_numbers(F.col("text")).alias("numbers"),
+    ).collect()
+    for r in read:
+        assert (r.template, r.who["rank"], r.who["surname"], r.day) == (r.kind, r["rank"], r.last_name.upper(), r.start), r.text
+        assert {r.number, r.days} <= set(r.numbers)
+
+
+def test_embedding_stand_in_is_of_length_one(spark, sf_dir):
+    rows = registry.queries()["s14_embed_missing"](spark, sf_dir).collect()
+    again = {r.doc_id: r.embedding for r in registry.queries()["s14_embed_missing"](spark, sf_dir).collect()}
+    have = {r.vec_id for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id").collect()}
+    assert not have & {r.doc_id for r in rows}
+    for r in rows:
+        assert len(r.embedding) == 64 and r.embedding == again[r.doc_id]
+        assert sum(x * x for x in r.embedding) == pytest.approx(1, abs=1e-3)
