@@ -137,6 +137,18 @@ def f18(spark, sf_dir):
     )
 
 
+@register("f18_record_provenance", v.sql(v.FACTS_SQL, "docs AS (SELECT DISTINCT object_id, source_doc_id FROM facts WHERE status <> 'rejected')", "n AS (SELECT object_id, count(*) AS n FROM docs GROUP BY object_id)", "l AS (SELECT d.source_doc_id, sum(n.n - 1) AS links FROM docs d JOIN n USING (object_id) GROUP BY d.source_doc_id)", body="SELECT source_doc_id, string_agg(dimension || '=' || value || '@' || id || ':' || coalesce(CAST(round(confidence * 100) AS BIGINT), 50), '; ' ORDER BY id) AS provenance, CAST(any_value(links) AS BIGINT) AS links FROM facts JOIN l USING (source_doc_id) WHERE status <> 'rejected' GROUP BY source_doc_id"))
+def f18_provenance(spark, sf_dir):
+    """A record a document: where each of its values comes from, how sure it is, and its links to others by their subjects."""
+    f = v.facts(spark, sf_dir).filter("status <> 'rejected'")
+    docs = f.select("object_id", "source_doc_id").distinct()
+    links = docs.join(docs.groupBy("object_id").agg((F.count("*") - 1).alias("others")), "object_id").groupBy("source_doc_id").agg(F.sum("others").alias("links"))
+    sure = F.coalesce(F.round(F.col("confidence") * 100).cast("long"), F.lit(50)).cast("string")
+    said = F.struct("id", F.concat("dimension", F.lit("="), "value", F.lit("@"), F.col("id").cast("string"), F.lit(":"), sure).alias("said"))
+    of = f.groupBy("source_doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(said)), lambda s: s["said"]), "; ").alias("provenance"))  # a document's facts
+    return of.join(links, "source_doc_id")
+
+
 @register("f25_rrf_logical_units", "WITH a AS (SELECT doc_id // 10 AS unit, doc_id, 'a' AS branch, row_number() OVER (ORDER BY length(text) DESC, doc_id) AS rank FROM documents QUALIFY rank <= 70), b AS (SELECT doc_id // 10, doc_id, 'b', row_number() OVER (ORDER BY md5(text), doc_id) AS rank FROM documents QUALIFY rank <= 70), u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT unit, round(sum(1.0::DOUBLE / (60 + rank)), 8) AS rrf, count(DISTINCT branch) AS branches, string_agg(DISTINCT CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) AS parts FROM u GROUP BY unit")
 def f25(spark, sf_dir):
     """Rank fusion where parts of one unit count together."""

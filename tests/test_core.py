@@ -348,3 +348,31 @@ def test_embedding_stand_in_is_of_length_one(spark, sf_dir):
     for r in rows:
         assert len(r.embedding) == 64 and r.embedding == again[r.doc_id]
         assert sum(x * x for x in r.embedding) == pytest.approx(1, abs=1e-3)
+
+
+def test_page_store(spark, tmp_path):
+    from quillstone.sources.pages import PageStore
+
+    store = PageStore(spark, str(tmp_path / "pages"))
+    assert store.index().count() == 0 and store.index(retired=True).count() == 0
+    store.write("leave", {"title": "Відпустка", "kind": "form"}, "First\n---\nbody")
+    store.write("travel", {"title": "T"}, "")
+    store.write("leave", {"title": "Відпустка 2"}, "Second")
+    pages = {r.name: r for r in store.index().collect()}
+    assert set(pages) == {"leave", "travel"} and pages["leave"].body == "Second" and "Відпустка 2" in pages["leave"].head
+    found = store.known(spark.createDataFrame([(pages["leave"].checksum,), ("0",)], "checksum string")).collect()
+    assert [r.name for r in found] == ["leave"]
+    store.retire("leave")
+    store.write("leave", {"title": "3"}, "Third\n---\nend")
+    store.retire("leave")
+    assert {r.name for r in store.index().collect()} == {"travel"}
+    assert {r.name: r.body for r in store.index(retired=True).collect()} == {"leave.1": "Second", "leave.2": "Third\n---\nend"}
+    with pytest.raises(FileNotFoundError):
+        store.retire("leave")
+    assert not list((tmp_path / "pages").glob("*.part"))
+
+
+def test_evaluation_sets(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("# comment\nq1\t7\ta \"quoted\" part\nq2\t8\t\n", encoding="utf-8")
+    rows = readers.read_tsv(spark, str(tmp_path / "t.tsv"), ["question", "doc", "part"]).collect()
+    assert [tuple(r) for r in rows] == [("q1", "7", 'a "quoted" part'), ("q2", "8", None)]
