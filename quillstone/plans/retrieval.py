@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as x
@@ -103,6 +104,17 @@ def f36(spark, sf_dir):
     return r.top(by_label, 1, "label").select("query_id", F.when(F.col("score") >= 0.5, F.col("label")).alias("label"), F.round("score", 4).alias("score"))
 
 
+@register("f36_router_by_mean_of_five", f"WITH {NEAR}, five AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY score DESC, vec_id) AS rank FROM near), m AS (SELECT query_id, label, CAST(floor(sum(CAST(round(score * 1000000) AS BIGINT)) / count(*)) AS BIGINT) AS mean FROM five WHERE rank <= 5 GROUP BY query_id, label) SELECT query_id, label, mean FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY mean DESC, label) AS r FROM m) WHERE r = 1")
+def f36_mean(spark, sf_dir):
+    """The label whose five nearest examples are nearest on the whole; their mean in millionths."""
+    e, q = vectors(spark, sf_dir)
+    scored = r.cosines(q, e, "vec_id", "label").filter("vec_id <> query_id")
+    order = Window.partitionBy("query_id", "label").orderBy(F.desc("score"), "vec_id")
+    five = scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 5")
+    means = five.groupBy("query_id", "label").agg(F.sum(F.round(F.col("score") * 1e6).cast("long")).alias("_sum"), F.count("*").alias("_n")).select("query_id", "label", F.expr("floor(_sum / _n)").cast("long").alias("mean"))
+    return r.top(means, 1, "label", by="mean").select("query_id", "label", "mean")
+
+
 BRANCHES = f"{NEAR}, a AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM near), b AS (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY abs(label - query_id // 100 % 10), vec_id) AS rank FROM near), fused AS (SELECT query_id, vec_id, round(sum(w / (k + rank)), 8) AS rrf, count(*) AS sources FROM (SELECT query_id, vec_id, rank, {{wa}}::DOUBLE AS w, {{k}} AS k FROM a WHERE rank <= 70 UNION ALL SELECT query_id, vec_id, rank, {{wb}}::DOUBLE, {{k}} FROM b WHERE rank <= 70) GROUP BY query_id, vec_id)"
 
 
