@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import cut
 from .retrieval import BLOCK_QUERIES, compared
 
 RUN = 5
@@ -39,8 +40,10 @@ def holders(quotes: DataFrame, texts: DataFrame, key: str, fold: Callable[[Colum
     short = asked.filter("_n <= 0").select("query_id", "_quote")
     found = None
     if met is not None:
-        near = met.distinct().join(asked.select("query_id", "_quote"), "query_id").join(own, key)
-        found = near.filter(F.contains("_body", F.col("_quote"))).select("query_id", key)
+        near = cut(met.distinct())
+        near = F.broadcast(near) if near.count() <= 10 * BLOCK_QUERIES else near  # pairs of ids, so that texts needn't move
+        both = texts.join(near, key).join(asked.select("query_id", "_quote"), "query_id")
+        found = both.filter(F.contains(fold(F.col("text")), F.col("_quote"))).select("query_id", key)
     if not short.isEmpty():
         alone = compared(short, own, lambda pairs: pairs.filter(F.contains("_body", F.col("_quote"))).select("query_id", key))
         found = alone if found is None else found.unionByName(alone)

@@ -42,8 +42,7 @@ def f22_index(spark, sf_dir):
 @register("f22_bm25_top10", f"WITH {INDEX}, {ASKED}, {BM25} SELECT query_id, doc_id, score, matched FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm) WHERE rank <= 10")
 def f22(spark, sf_dir):
     q = asked(spark, sf_dir)
-    scored = r.bm25(r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id"), q, "doc_id")
-    return r.top(scored, 10, "doc_id").select("query_id", "doc_id", "score", "matched")
+    return r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id").bm25(10).select("query_id", "doc_id", "score", "matched")
 
 
 @register("f22_any_term_rank", v.sql(v.REGISTRY_SQL, NORMATIVE, SCOPED, ASKED, """
@@ -56,12 +55,12 @@ spots AS (SELECT query_id, doc_id, w, list_position(list_transform(w, lambda x:
 def f22_any(spark, sf_dir):
     """Full-text search within the procedural scope: any term, ranks of 0.02 or more, 70 a question, a headline of 15 words."""
     q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
-    ranked = r.any_term_rank(r.postings(docs, q, "doc_id"), q, "doc_id").filter("score >= 0.02")
-    best = r.top(ranked, 70, "doc_id").select("query_id", "doc_id", "score")
+    best = r.postings(docs, q, "doc_id").any_term_rank(70).filter("score >= 0.02").select("query_id", "doc_id", "score")
     terms = q.select("query_id", F.array_distinct(x.lexemes(F.col("text"))).alias("terms"))
     body = docs.select("doc_id", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
-    hits = best.join(terms, "query_id").join(body, "doc_id")
-    hit = F.array_position(F.transform("w", lambda w: F.arrays_overlap(F.split(F.lower(w), r"[^\p{L}\p{N}]+"), "terms")), True)
+    said = F.flatten(F.transform("w", lambda w, i: F.transform(F.split(F.lower(w), r"[^\p{L}\p{N}]+"), lambda t: F.struct(t.alias("t"), (i + 1).alias("i")))))
+    hits = best.join(terms, "query_id").join(body.withColumn("said", said), "doc_id")
+    hit = F.array_min(F.transform(F.filter("said", lambda s: F.array_contains("terms", s["t"])), lambda s: s["i"]))
     hits = hits.withColumn("_from", F.greatest(hit - 5, F.lit(1)).cast("int"))
     return hits.select("query_id", "doc_id", "score", F.array_join(F.slice("w", F.col("_from"), F.lit(15)), " ").alias("headline"))
 
@@ -73,8 +72,7 @@ def a19(spark, sf_dir):
     The filter is inside the search: only such documents are indexed, counted and ranked.
     """
     q, docs = asked(spark, sf_dir), normative(spark, sf_dir)
-    scored = r.bm25(r.postings(docs, q, "doc_id"), q, "doc_id").join(docs.select("doc_id", F.col("type").alias("source")), "doc_id")
-    by_source = scored.groupBy("query_id", "source").agg(F.max("score").alias("score"), F.min_by("doc_id", F.struct(-F.col("score"), F.col("doc_id"))).alias("doc_id"))
+    by_source = r.postings(docs.withColumnRenamed("type", "source"), q, "doc_id", "source").bm25(1, "source").drop("rank")
     return r.top(by_source, 3, "source").select("query_id", "source", "score", "doc_id")
 
 
@@ -213,6 +211,6 @@ def f25_search(spark, sf_dir):
     """Two lexical branches of 70 fused by reciprocal ranks, where the parts of one unit count together."""
     q = asked(spark, sf_dir)
     found = r.postings(v.table(spark, sf_dir, "documents"), q, "doc_id")
-    branches_ = [r.top(scored, 70, "doc_id").select("query_id", "doc_id", "rank", F.lit(n).alias("branch")) for n, scored in (("a", r.bm25(found, q, "doc_id")), ("b", r.any_term_rank(found, q, "doc_id")))]
+    branches_ = [ranked.select("query_id", "doc_id", "rank", F.lit(n).alias("branch")) for n, ranked in (("a", found.bm25(70)), ("b", found.any_term_rank(70)))]
     both = branches_[0].unionByName(branches_[1]).withColumn("unit", F.expr("doc_id div 10"))
     return both.groupBy("query_id", "unit").agg((F.sum(F.round(1e6 / (60 + F.col("rank"))).cast("long")) / 1e6).alias("rrf"), F.count_distinct("branch").alias("branches"), F.array_join(F.array_sort(F.collect_set(F.col("doc_id").cast("string"))), ",").alias("parts"))
