@@ -476,7 +476,7 @@ def train(pages: int = TRAIN_PAGES, seed: int = TRAIN_SEED) -> TreeModel:
     seen[:n] = np.bincount(to, y[at], n)
     seen[n : n + 4] = np.bincount(k[child], y[child] * y[up[child]], 4)
     seen[n + 4 :] = np.bincount(k[child], y[up[child]], 4)
-    for _ in range(400):  # exact gradients of the trees' likelihood, from the marginals of nodes and edges
+    for _ in range(250):  # exact gradients of the trees' likelihood, from the marginals of nodes and edges
         belief = np.bincount(at, w[to], len(y))
         u, v, message = w[n + k], w[n + 4 + k], np.zeros(len(y))
         for own in reversed(levels):
@@ -494,7 +494,7 @@ def train(pages: int = TRAIN_PAGES, seed: int = TRAIN_SEED) -> TreeModel:
         want = np.concatenate([np.bincount(to, p[at], n), np.bincount(k[child], both, 4), np.bincount(k[child], p[up[child]], 4)])
         slope = seen - want - 0.2 * w
         step += slope * slope
-        w += 0.5 * slope / np.sqrt(step + 1e-9)
+        w += 4.0 * slope / np.sqrt(step + 1e-9)
     pairs = np.zeros((4, 2, 2))
     pairs[:, 1, :] = w[n + 4 :, None]
     pairs[:, 1, 1] += w[n : n + 4]
