@@ -19,7 +19,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, Jaccard similarity of 0.8) stays."""
+    """One document of each group of near copies (5-word shingles, Jaccard similarity of 0.8) stays.
+
+    They meet by SimHash and anchor-point covering; what lies beyond it is found by an exact prefix filter.
+    """
     return near_copies.keep_one(docs)
 
 

@@ -1,17 +1,24 @@
-"""Near copies by exact Jaccard similarity of word shingles, with prefix filtering: no similar pair is lost.
+"""Near copies by SimHash and anchor-point covering, checked by exact Jaccard similarity; no similar pair is lost.
 
 A text's words are those of simhash; it has the set of its shingles of 5 words, or of the whole sequence if it has
 fewer words. Two texts are linked if the Jaccard similarity of their sets is at least 0.8 (as hashes of 64 bits).
 Equal sets are one, found by a digest, before anything is compared.
 
-All shingles have one global order: the frequent ones last, as far as a sketch of SKETCH counters tells them, then by
+First, sets meet by the operator of op1: a set's fingerprint is the SimHash of its shingles, and it is sent to the
+anchors of a covering code. Similar texts differ by up to about a third of their bits, too far for a covering of 64 bits
+at once, so the fingerprint is cut in thirds, and each third has its own covering for 2 bits. Fingerprints within 8 bits
+have a third within 2, so they always meet at an anchor. At an anchor, each set is paired with the next of a like size
+whose whole fingerprint differs by at most NEAR_BITS; whole sets then decide.
+
+No bound on bits follows from a similarity, so links may lie beyond the covering. What it has not connected is made
+whole by an exact prefix filter. All shingles have one global order: the frequent ones last, as far as a sketch of SKETCH counters tells them, then by
 hash. Sets of n and m shingles that are similar share at least 0.8 / 1.8 * (n + m), so they share one of the first
 n - ceil(0.8 n) + 1 of n; sets meet at these. Any order is exact; the sketch only keeps the groups small. Sets that meet
 at several shingles do so at the first. At a meeting, pairs go whose sizes or places in the order can't reach the
 similarity, then those whose marks can't: a mark counts a set's shingles in MARK classes, and no two sets share more
 than the lesser counts. Only the others leave the task that found them, and are compared by their whole sets.
 
-Only what connects is wanted, so the comparing goes in rounds: first the next neighbours in a group, then near ones, then
+Only what connects is wanted, so this comparing goes in rounds, too, over what has no link yet: first the next neighbours in a group, then near ones, then
 all of a group whose components still differ. A group of alike texts thus gives about as many pairs as it has texts.
 
 A null, empty or blank text has the empty set; those are one group of copies. Texts of any length have all their
@@ -30,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import simhash
 from .common import discard, slices, with_columns, written
 from .components import classes, components, one_of_each
 
@@ -38,6 +46,10 @@ SEED = 42
 #: Similar: intersection / union >= TENTHS / 10.
 TENTHS = 8
 SKETCH = 1 << 20
+#: The first bit and the length of each part of a fingerprint that has a covering of its own.
+PARTS = ((0, 22), (22, 21), (43, 21))
+#: Bits by which whole fingerprints may differ to be paired at an anchor; the sets decide, so this only saves comparing.
+NEAR_BITS = 14
 #: The distances in a group up to which pairs are compared, by round; the last round has no bound.
 REACHES = (1, 8, None)
 #: The distance in a group up to which rows are tried before they are written.
@@ -69,15 +81,68 @@ def prefix_length(n: int) -> int:
     return n - (TENTHS * n + 9) // 10 + 1
 
 
+def fingerprint_of(shingles: np.ndarray) -> int:
+    """The signed SimHash of a set."""
+    return int(np.uint64(simhash.majority(shingles.astype(">u8").view(np.uint8).reshape(-1, 8))).view(np.int64))
+
+
 def keys(df: DataFrame) -> DataFrame:
-    """(doc_id, key) of documents."""
+    """(doc_id, key, size, fp) of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = pa.array([key_of(shingles_of(x)) for x in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], names=["doc_id", "key"])
+            found, sizes, fps = [], [], []
+            for text in batch.column("text").to_pylist():
+                s = shingles_of(text)
+                found.append(key_of(s))
+                sizes.append(len(s))
+                fps.append(fingerprint_of(s))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64())], names=["doc_id", "key", "size", "fp"])
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, key bigint")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, key bigint, size int, fp bigint")
+
+
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, size, fp) for each anchor within 2 of each part of the fingerprints; the part is in the anchor's top bits."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH):
+            part = batch.slice(at, BATCH)
+            size, fp = part.column("size").to_numpy(), part.column("fp").to_numpy()
+            for k, (first, bits) in enumerate(PARTS):
+                rows, anchor = simhash.anchors_of(fp.view(np.uint64) >> np.uint64(first) & np.uint64((1 << bits) - 1), bits)
+                yield pa.RecordBatch.from_arrays([pa.array((anchor | np.uint64(k << 24)).astype(np.int32)), pa.array(size[rows]), pa.array(fp[rows])], names=["anchor", "size", "fp"])
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(fa, na, fb, nb): each fingerprint and size with the next one at its anchor that may be similar."""
+    for x in _groups(batches, ["anchor", "size", "fp"]):
+        lag, at, size = 1, np.arange(len(x["fp"])), x["size"].astype(np.int64)
+        while True:
+            at = at[at + lag < len(x["fp"])]
+            # sizes rise in a group, so a set that is too large for one stays so at greater distances
+            at = at[(x["anchor"][at] == x["anchor"][at + lag]) & (10 * size[at] >= TENTHS * size[at + lag])]
+            if not len(at):
+                break
+            near = np.bitwise_count(x["fp"][at].view(np.uint64) ^ x["fp"][at + lag].view(np.uint64)) <= NEAR_BITS
+            own = at[near]
+            if len(own):
+                yield pa.RecordBatch.from_arrays([pa.array(x[n][i]) for i in (own, own + lag) for n in ("fp", "size")], names=["fa", "na", "fb", "nb"])
+            at, lag = at[~near], lag + 1
+
+
+def covered(sets: DataFrame) -> DataFrame:
+    """(a, b): pairs of keys of distinct sets (key, size, fp) that meet at an anchor and may be similar.
+
+    Sets of one fingerprint and size go to the anchors once, and are paired with the one of the least key.
+    """
+    points = written(sets.filter("size > 0").groupBy("fp", "size").agg(F.min("key").alias("least")), "points")
+    sent = points.select("size", "fp").mapInArrow(_sent, "anchor int, size int, fp bigint")
+    met = sent.repartition("anchor").sortWithinPartitions("anchor", "size", "fp").mapInArrow(_paired, "fa bigint, na int, fb bigint, nb int").distinct()
+    near = met.join(points.toDF("fa", "na", "a"), ["fa", "na"]).join(points.toDF("fb", "nb", "b"), ["fb", "nb"]).select("a", "b")
+    alike = sets.join(points, ["fp", "size"]).filter("key <> least").select("least", "key")
+    out = written(near.unionAll(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "covered")
+    discard(points)
+    return out
 
 
 def levels(df: DataFrame) -> bytes:
@@ -141,12 +206,12 @@ def _values(column: pa.Array) -> np.ndarray:
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """The batches, sorted by shingle, cut so that each shingle is whole, without shingles that are alone."""
-    held = None
+    """The batches, sorted by the first name, cut so that each value of it is whole, without values that are alone."""
+    held, by = None, names[0]
 
     def met(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        same = np.zeros(len(x["shingle"]), bool)
-        same[1:] = x["shingle"][1:] == x["shingle"][:-1]
+        same = np.zeros(len(x[by]), bool)
+        same[1:] = x[by][1:] == x[by][:-1]
         same[:-1] |= same[1:]
         return {n: x[n][same] for n in names}
 
@@ -154,9 +219,9 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[dic
         x = {n: _values(batch.column(n)) for n in names}
         if held is not None:
             x = {n: np.concatenate([held[n], x[n]]) for n in names}
-        if not len(x["shingle"]):
+        if not len(x[by]):
             continue
-        cut = int(np.searchsorted(x["shingle"], x["shingle"][-1]))
+        cut = int(np.searchsorted(x[by], x[by][-1]))
         yield met({n: x[n][:cut] for n in names})
         held = {n: x[n][cut:] for n in names}
     if held is not None:
@@ -295,30 +360,36 @@ def verified(pairs: DataFrame, df: DataFrame) -> DataFrame:
     return out
 
 
-def links(df: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the keys of the documents' sets as all similar pairs do."""
+def links(df: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the keys of the documents' sets (key, size, fp) as all similar pairs do."""
+    pairs = covered(sets)
+    found = verified(pairs, df)
+    discard(pairs)
+    return found.unionAll(rest(df, found))
+
+
+def rest(df: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect, together with the found ones, the keys as all similar pairs do."""
     bare = meetings(prefixes(df, levels(df)))
     marks = _of_wanted(df, bare, mark_of, "binary", pa.binary())
     met = written(bare.join(marks.select("key", F.col("value").alias("mark")), "key"), "marked")
-    found, roots, beyond = None, None, 0
+    out, roots, beyond = found.limit(0), components(found), 0
     for reach in REACHES:
-        if roots is None:
-            labelled = met.withColumn("root", F.col("key"))
-        else:
-            labelled = met.join(roots.toDF("key", "found"), "key", "left").withColumn("root", F.coalesce("found", "key"))
+        labelled = met.join(roots.toDF("key", "found"), "key", "left").withColumn("root", F.coalesce("found", "key"))
         pairs = written(candidates(labelled, beyond, reach), "candidates")
         fresh = verified(pairs, df)
         discard(pairs, roots)
-        found = fresh if found is None else found.unionAll(fresh)
+        out = out.unionAll(fresh)
         if reach is not None:
-            roots, beyond = components(found), reach
+            roots, beyond = components(found.unionAll(out)), reach
     discard(bare, met)
-    return found
+    return out
 
 
 def cluster(df: DataFrame) -> DataFrame:
     """(doc_id, key, root, component_id) for each row; component_id is the smallest doc_id reachable over links."""
-    return classes(written(keys(df), "keys"), lambda _: links(df), "key")
+    found = written(keys(df), "keys")
+    return classes(found.select("doc_id", "key"), lambda _: links(df, found.select("key", "size", "fp").distinct()), "key")
 
 
 def with_keys(df: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ components. Extra columns stay out of the shuffles.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,11 @@ def fingerprint_of(text: str | None) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(SHINGLE_WORDS)), strict=False))
-    digests = np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), np.uint8).reshape(-1, 8)
+    return majority(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), np.uint8).reshape(-1, 8))
+
+
+def majority(digests: np.ndarray) -> int:
+    """The unsigned number whose bits are those set in over half of the digests (rows of 8 bytes)."""
     counts = np.zeros(2048, np.int64)
     for at in range(0, len(digests), 1 << 16):
         counts += np.bincount((digests[at : at + (1 << 16)] + _LANES).ravel(), minlength=2048)
@@ -70,20 +74,28 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp") -> DataFram
     return df.mapInArrow(run, T.StructType([f for f in df.schema.fields if f.name.lower() != out.lower()] + [T.StructField(out, T.LongType())]))
 
 
-def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, anchor) for each anchor within 2 of each unsigned fingerprint."""
-    n = len(fp)
+def anchors_of(fp: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """(row, anchor) for each anchor within 2 of each unsigned fingerprint of a length in bits.
+
+    The Hamming code is the longest that leaves a free bit: on bits 1 to 63 of 64, on bits 1 to 15 of 21. Two flips of
+    free bits lead from an anchor to another one.
+    """
+    n, end = len(fp), 1 << bits.bit_length() - 1
+    free = [np.uint64(1 << i) for i in (0, *range(end, bits))]
     syndrome = np.zeros(n, np.uint64)
-    for bit in range(1, 64):  # the exclusive or of the places of all set bits: zero for an anchor
+    for bit in range(1, end):  # the exclusive or of the places of all set bits: zero for an anchor
         syndrome ^= (fp >> np.uint64(bit) & np.uint64(1)) * np.uint64(bit)
     base = np.where(syndrome > 0, fp ^ np.uint64(1) << syndrome, fp)
-    rows, found = [np.arange(n), np.arange(n)], [base, base ^ np.uint64(1)]
-    off = np.flatnonzero(syndrome)
-    for i in range(1, 64):  # two flips i and i ^ syndrome lead to an anchor, too
+    rows, found = [np.arange(n)] * (1 + len(free)), [base, *(base ^ x for x in free)]
+    off, on = np.flatnonzero(syndrome), np.flatnonzero(syndrome == 0)
+    for i in range(1, end):  # two flips i and i ^ syndrome lead to an anchor, too
         j = syndrome[off] ^ np.uint64(i)
         pick = j > np.uint64(i)
         rows.append(off[pick])
         found.append(fp[off[pick]] ^ np.uint64(1 << i) ^ np.uint64(1) << j[pick])
+    for x, y in combinations(free, 2):
+        rows.append(on)
+        found.append(fp[on] ^ x ^ y)
     return np.concatenate(rows), np.concatenate(found)
 
 

@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
-from quillstone.llm import near_copies
+from quillstone.llm import near_copies, simhash
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -61,3 +64,46 @@ def test_rows_without_ids_and_no_rows(spark):
     kept = near_copies.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, "a b c d e f g"), (3, "x")]
     assert near_copies.keep_one(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("bits", [21, 22, 32, 64])
+def test_points_within_two_bits_share_an_anchor(bits):
+    rng = random.Random(bits)
+    for _ in range(300):
+        a = rng.getrandbits(bits)
+        b = a
+        for i in rng.sample(range(bits), rng.randint(0, 2)):
+            b ^= 1 << i
+        rows, anchors = simhash.anchors_of(np.array([a, b], np.uint64), bits)
+        of = [set(anchors[rows == r].tolist()) for r in (0, 1)]
+        assert of[0] & of[1] and len(of[0]) + len(of[1]) == len(rows)
+        assert all(0 <= x < 1 << bits and (x ^ p).bit_count() <= 2 for p, s in zip((a, b), of, strict=True) for x in s)
+
+
+def test_fingerprints_within_eight_bits_meet_at_anchors(spark):
+    rng = random.Random(8)
+    rows, want = [], set()
+    for k in range(400):
+        a = b = rng.getrandbits(64)
+        for i in rng.sample(range(64), k % 9):
+            b ^= 1 << i
+        rows += [(2 * k, 100, a), (2 * k + 1, 100 + k % 26, b)]  # up to 125: the largest size that may be similar to 100
+        want.add((2 * k, 2 * k + 1))
+    rows += [(9000, 0, 0), (9001, 10, rows[0][2]), (9002, 126, rows[0][2])]  # no shingles, and sizes too far apart
+    df = spark.createDataFrame([(k, n, f - (f >> 63 << 64)) for k, n, f in rows], "key bigint, size int, fp bigint").repartition(3)
+    got = {(r.a, r.b) for r in near_copies.covered(df).collect()}
+    assert want <= got and not {9000, 9001} & {k for p in got for k in p} and (0, 9002) not in got
+
+
+def test_the_stage_goes_through_the_covering(spark, monkeypatch):
+    """With the exact rest taken away, near copies that differ little are still found; far ones are the rest's."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(20):
+        base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        rows += [(3 * k, " ".join(base), "en", "s", 1), (3 * k + 1, " ".join([*base[:-1], "other"]), "en", "s", 1), (3 * k + 2, " ".join(rng.sample(base, 400)), "en", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = plain_kept([(r[0], r[1]) for r in rows])
+    assert len(want) == 40
+    monkeypatch.setattr(near_copies, "REACHES", ())
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == sorted(want)
