@@ -36,6 +36,8 @@ MARGINS = {"symbol_rate": 200, "word_length": 150, "dup_line_rate": 450}
 #: Rows of thresholds up to which they are broadcast (about 100 bytes each), and salts beyond.
 BROADCAST_ROWS = 50_000
 SALTS = 16
+#: Files of a written sketch or table of thresholds, whatever the number of shuffle partitions.
+FILES = 4
 
 
 def base_measures(df: DataFrame, text: str = "text") -> DataFrame:
@@ -127,8 +129,13 @@ def quantiles(sketch: DataFrame, keys: list[str], shares: dict[str, float]) -> D
 
 
 def thresholds(df: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
-    """(lang, source, most_symbol_rate, least_word_length, most_word_length, most_dup_line_rate), written."""
-    sketch = written(sketches(df, lang, source, text), "sketches")
+    """(lang, source, most_symbol_rate, least_word_length, most_word_length, most_dup_line_rate), written.
+
+    All shuffle partitions merge the sketches, then FILES writers get the merged rows; FILES tasks join the quantiles, a
+    row for each group. Files cost more than their rows: without Hadoop's native library an executor starts processes for
+    each, to set permissions.
+    """
+    sketch = written(sketches(df, lang, source, text).repartition(FILES), "sketches")
     shares = {"low": 0.05, "mid": 0.5}
     group = quantiles(sketch, ["lang", "source"], shares)
     by_lang = quantiles(sketch, ["lang"], shares).toDF("l_lang", "l_total", "l_of")
@@ -143,7 +150,7 @@ def thresholds(df: DataFrame, lang: str = "lang", source: str = "source", text:
         return q["mid"] + F.lit(sign) * (F.greatest(wide, F.lit(MARGINS[measure])) if measure == "word_length" else wide + MARGINS[measure])
 
     return written(
-        out.select("lang", "source", fence("symbol_rate", 1).alias("most_symbol_rate"), fence("word_length", -1).alias("least_word_length"), fence("word_length", 1).alias("most_word_length"), fence("dup_line_rate", 1).alias("most_dup_line_rate")),
+        out.select("lang", "source", fence("symbol_rate", 1).alias("most_symbol_rate"), fence("word_length", -1).alias("least_word_length"), fence("word_length", 1).alias("most_word_length"), fence("dup_line_rate", 1).alias("most_dup_line_rate")).coalesce(FILES),
         "thresholds",
     )
 

@@ -181,6 +181,24 @@ def test_quality_joins_alike_whatever_the_number_of_groups(docs, monkeypatch):
     assert sorted((str(r.doc_id), str(r.text)[:40], r.n_words, r.kept) for r in quality.judge(docs).collect()) == want
 
 
+def test_quality_writes_few_files_whatever_the_partitions(spark, monkeypatch):
+    rows = [(i, PROSE[i % 6] + f" {'#' * (i % 7)} word" * (i % 5), f"l{i % 5}", f"s{i % 9}", 1) for i in range(450)]
+    many = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(quality.thresholds(many, min_group=8).collect())
+    tables, write = [], quality.written
+    monkeypatch.setattr(quality, "written", lambda df, label: tables.append(write(df, label)) or tables[-1])
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert sorted(quality.thresholds(many, min_group=8).collect()) == want and len(want) == 45
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [len(t.inputFiles()) <= quality.FILES for t in tables] == [True, True]
+
+
 def test_quality_sketch_is_mergeable_and_near(spark):
     values = [((i * 7919) % 5000,) for i in range(5000)]
     df = spark.createDataFrame(values, "v bigint").withColumn("bin", quality.bin_of(F.col("v")))
