@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import slices, with_columns
+from .common import release_memory, slices, thrifty, with_columns
 from .pairs import NONE, PairTable, apart
 
 #: Distinct new words that a block replays together, and words that a task remembers.
@@ -206,6 +206,7 @@ class ReplayEncoder:
         fresh = list(fresh)
         for at in range(0, len(fresh), BLOCK_WORDS):
             self._learn(fresh[at : at + BLOCK_WORDS])
+            release_memory()  # a block's arrays are freed by now, and take more than all that is remembered
 
     def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Encodes a column of texts: (first row, rows, ids end to end, borders of the rows) for runs of rows.
@@ -315,7 +316,7 @@ def encode(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _encoded(batches, encoder_for(vocabulary.value, pattern), text, ids)
 
-    return df.mapInArrow(run, _schema(df, T.StructField(ids, _IDS)))
+    return df.mapInArrow(thrifty(run), _schema(df, T.StructField(ids, _IDS)))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
@@ -327,7 +328,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids: str = "ids", data: str = "d
         for batch in slices(batches, ids, BLOCK_BYTES):
             yield with_columns(batch, [data], [pa.array(map(encoder.decode, _lists(batch.column(ids))), pa.binary())])
 
-    return df.mapInArrow(run, _schema(df, T.StructField(data, T.BinaryType())))
+    return df.mapInArrow(thrifty(run), _schema(df, T.StructField(data, T.BinaryType())))
 
 
 def round_trip(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text", ids: str | None = None) -> DataFrame:
@@ -347,4 +348,4 @@ def round_trip(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "t
     kept = T.StructType([f for f in df.schema.fields if f.name != text])
     more = [T.StructField(ids, _IDS)] if ids else []
     names = {f.name for f in more + _DIGESTS}
-    return df.mapInArrow(run, T.StructType([f for f in kept.fields if f.name.lower() not in {n.lower() for n in names}] + more + _DIGESTS))
+    return df.mapInArrow(thrifty(run), T.StructType([f for f in kept.fields if f.name.lower() not in {n.lower() for n in names}] + more + _DIGESTS))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import discard, slices, with_columns, written
+from .common import discard, slices, thrifty, with_columns, written
 from .components import classes, components, one_of_each
 
 SHINGLE_WORDS = 5
@@ -99,7 +99,7 @@ def keys(df: DataFrame) -> DataFrame:
                 fps.append(fingerprint_of(s))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fps, pa.int64())], names=["doc_id", "key", "size", "fp"])
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, key bigint, size int, fp bigint")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(thrifty(run), "doc_id bigint, key bigint, size int, fp bigint")
 
 
 def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +136,8 @@ def covered(sets: DataFrame) -> DataFrame:
     Sets of one fingerprint and size go to the anchors once, and are paired with the one of the least key.
     """
     points = written(sets.filter("size > 0").groupBy("fp", "size").agg(F.min("key").alias("least")), "points")
-    sent = points.select("size", "fp").mapInArrow(_sent, "anchor int, size int, fp bigint")
-    met = sent.repartition("anchor").sortWithinPartitions("anchor", "size", "fp").mapInArrow(_paired, "fa bigint, na int, fb bigint, nb int").distinct()
+    sent = points.select("size", "fp").mapInArrow(thrifty(_sent), "anchor int, size int, fp bigint")
+    met = sent.repartition("anchor").sortWithinPartitions("anchor", "size", "fp").mapInArrow(thrifty(_paired), "fa bigint, na int, fb bigint, nb int").distinct()
     near = met.join(points.toDF("fa", "na", "a"), ["fa", "na"]).join(points.toDF("fb", "nb", "b"), ["fb", "nb"]).select("a", "b")
     alike = sets.join(points, ["fp", "size"]).filter("key <> least").select("least", "key")
     out = written(near.unionAll(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "covered")
@@ -169,7 +169,7 @@ def levels(df: DataFrame) -> bytes:
         for block, counts in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["block", "counts"])
 
-    summed = df.select("text").mapInArrow(count, "block int, counts binary").repartition("block").mapInArrow(add, "block int, counts binary")
+    summed = df.select("text").mapInArrow(thrifty(count), "block int, counts binary").repartition("block").mapInArrow(thrifty(add), "block int, counts binary")
     counts = np.zeros((64, width), np.int64)
     for block, part in summed.collect():  # 64 rows of 64 KiB
         counts[block] = np.frombuffer(part, np.int32)
@@ -195,7 +195,7 @@ def prefixes(df: DataFrame, level: bytes) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["shingle", "size", "place", "key"])
 
-    return df.select("text").mapInArrow(run, "shingle bigint, size int, place int, key bigint")
+    return df.select("text").mapInArrow(thrifty(run), "shingle bigint, size int, place int, key bigint")
 
 
 def _values(column: pa.Array) -> np.ndarray:
@@ -280,7 +280,7 @@ def meetings(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(pa.array(x[n]) for n in names), pa.array(np.repeat(who, length)), pa.array(np.repeat(where, length))], names=[*names, "who", "places"])
 
     schema = "shingle bigint, size int, place int, key bigint, who bigint, places bigint"
-    met = written(rows.repartition("shingle").sortWithinPartitions("shingle", "size", "key").mapInArrow(run, schema), "met")
+    met = written(rows.repartition("shingle").sortWithinPartitions("shingle", "size", "key").mapInArrow(thrifty(run), schema), "met")
     first = met.groupBy("who").agg(F.min(F.struct("places", "shingle"))["shingle"].alias("shingle")).select("shingle").distinct()
     out = written(met.join(first, "shingle", "left_semi").select(*names), "meetings")
     discard(met)
@@ -316,7 +316,7 @@ def candidates(met: DataFrame, beyond: int, reach: int | None) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
                 lag += 1
 
-    return met.repartition("shingle").sortWithinPartitions("shingle", "size", "key").mapInArrow(run, "a bigint, b bigint").distinct()
+    return met.repartition("shingle").sortWithinPartitions("shingle", "size", "key").mapInArrow(thrifty(run), "a bigint, b bigint").distinct()
 
 
 def _wanted(keys: DataFrame) -> np.ndarray:
@@ -342,7 +342,7 @@ def _of_wanted(df: DataFrame, keys: DataFrame, make, schema: str, kind: pa.DataT
                     out[key] = len(s), make(s)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([n for n, _ in out.values()], pa.int32()), pa.array([v for _, v in out.values()], kind)], names=["key", "size", "value"])
 
-    return df.select("text").mapInArrow(run, f"key bigint, size int, value {schema}").dropDuplicates(["key"])
+    return df.select("text").mapInArrow(thrifty(run), f"key bigint, size int, value {schema}").dropDuplicates(["key"])
 
 
 def mark_of(shingles: np.ndarray) -> bytes:
@@ -399,7 +399,7 @@ def with_keys(df: DataFrame, name: str) -> DataFrame:
         for batch in slices(batches, "text"):
             yield with_columns(batch, [name], [pa.array([key_of(shingles_of(x)) for x in batch.column("text").to_pylist()], pa.int64())])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
+    return df.mapInArrow(thrifty(run), T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(df: DataFrame) -> DataFrame:

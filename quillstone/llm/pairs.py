@@ -13,6 +13,8 @@ def apart(joined: np.ndarray) -> np.ndarray:
 
 #: No such pair.
 NONE = np.int32(2**31 - 1)
+#: Pairs that are looked up at once; the arrays on the way are several times as large as the answer.
+AT_ONCE = 1 << 16
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,5 +71,8 @@ class PairTable:
         return out
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        slot = self.find(left, right)
-        return np.where(slot >= 0, self.rank[slot], NONE)
+        out = np.empty(len(left), np.int32)
+        for at in range(0, len(left), AT_ONCE):
+            slot = self.find(left[at : at + AT_ONCE], right[at : at + AT_ONCE])
+            out[at : at + AT_ONCE] = np.where(slot >= 0, self.rank[slot], NONE)
+        return out

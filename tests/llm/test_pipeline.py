@@ -1,17 +1,23 @@
 """The pipeline's stages against plain versions on the smallest tables, and the registered queries."""
 
 import base64
+import ctypes
 import hashlib
+import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
 import corpus_pipeline
-from quillstone.llm import QUERIES, SQL, quality
+from quillstone.llm import QUERIES, SQL, bpe, quality
 from quillstone.llm.common import read_table, written
+from quillstone.llm.pairs import NONE, PairTable
 from tests.llm.test_near_copies import plain_kept as near_kept
 from tests.llm.test_operators import WORD, plain_measures, plain_secrets
 
@@ -129,6 +135,47 @@ def test_odd_rows_pass_all_stages(spark):
         assert out.count() == 0
 
 
+def anonymous_mb():
+    return int(re.search(r"\nAnonymous:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+
+def released():
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
+    return anonymous_mb()
+
+
+def test_encoding_keeps_no_freed_memory():
+    """Workers live through all stages; a block's freed arrays took a third of what a worker had."""
+    encoder = bpe.ReplayEncoder(open(P.path("byte_bpe_multi_50k.tiktoken"), "rb").read(), P.PATTERN)
+    made = random.Random(4)
+    words = ["".join(made.choices("etaoinshrdlu", k=made.randint(6, 14))) for _ in range(100_000)]
+    released()
+    for _ in encoder.encode_column(pa.array([" ".join(words[at : at + 500]) for at in range(0, len(words), 500)])):
+        pass
+    held = anonymous_mb()
+    assert held - released() < 24
+    assert encoder.decode(encoder.encode([" ".join(words)])[0].tolist()).decode() == " ".join(words)
+
+
+def test_pairs_are_looked_up_in_runs():
+    """The arrays of a look-up don't grow with the pairs asked for."""
+    made = np.random.default_rng(4)
+    left, right = made.integers(0, 3000, (2, 20_000))
+    table = PairTable(*(x.astype(np.int32) for x in (left, right, np.arange(20_000), np.arange(20_000))))
+    first = {}
+    for a, b, slot in zip(left.tolist(), right.tolist(), table.find(left, right).tolist(), strict=True):
+        first[a, b] = int(table.rank[slot])
+    asked = made.integers(0, 3000, (2, 1_000_000)).astype(np.int32)
+    asked[:, ::3] = np.stack([left, right])[:, made.integers(0, 20_000, len(asked[0, ::3]))]
+    tracemalloc.start()
+    found = table.ranks(*asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6
+    assert found.tolist() == [first.get(p, int(NONE)) for p in zip(*asked.tolist(), strict=True)]
+
+
 def test_registered_names():
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
     assert set(SQL) <= set(QUERIES)
