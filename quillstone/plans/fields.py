@@ -61,12 +61,20 @@ def j07(spark, sf_dir):
 
 @register("j12_progressive_names", "WITH w AS (SELECT c_custkey, unnest(string_split(lower(c_mktsegment) || ' ' || CAST(c_nationkey AS VARCHAR), ' ')) AS word FROM customer), q AS (SELECT s_suppkey, unnest(['machinery', CAST(s_nationkey AS VARCHAR), 'nobody']) AS word FROM supplier), hits AS (SELECT s_suppkey, c_custkey, count(*) AS n FROM q JOIN w USING (word) GROUP BY 1, 2), best AS (SELECT *, max(n) OVER (PARTITION BY s_suppkey) AS top FROM hits) SELECT s_suppkey, count(*) AS candidates, min(c_custkey) AS first_id FROM best WHERE n = top GROUP BY s_suppkey")
 def j12(spark, sf_dir):
-    """Candidates that share most words with the question; a word that nobody has narrows nothing."""
+    """Candidates that share most words with the question; a word that nobody has narrows nothing.
+
+    Candidates of the same words are counted before they meet questions, and questions of the same words are one.
+    """
     own = v.table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.split(F.concat_ws(" ", F.lower("c_mktsegment"), F.col("c_nationkey").cast("string")), " ")).alias("word"))
     asked = v.table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.array(F.lit("machinery"), F.col("s_nationkey").cast("string"), F.lit("nobody"))).alias("word"))
-    hits = asked.join(own, "word").groupBy("s_suppkey", "c_custkey").agg(F.count("*").alias("n"))
-    counts = hits.groupBy("s_suppkey", "n").agg(F.count("*").alias("candidates"), F.min("c_custkey").alias("first_id"))
-    return counts.groupBy("s_suppkey").agg(F.max_by(F.struct("candidates", "first_id"), "n").alias("best")).select("s_suppkey", "best.*")
+    words = lambda df, key: df.groupBy(key).agg(F.sort_array(F.collect_list("word")).alias("words"))  # noqa: E731, the words of a name
+    alike = words(own, "c_custkey").groupBy("words").agg(F.count("*").alias("candidates"), F.min("c_custkey").alias("first_id"))
+    questions = words(asked, "s_suppkey").withColumnRenamed("words", "question")
+    kinds = questions.select("question").distinct().select("question", F.explode("question").alias("word"))
+    hits = kinds.join(alike.withColumn("word", F.explode("words")), "word").groupBy("question", "words", "candidates", "first_id").agg(F.count("*").alias("n"))
+    counts = hits.groupBy("question", "n").agg(F.sum("candidates").alias("candidates"), F.min("first_id").alias("first_id"))
+    best = counts.groupBy("question").agg(F.max_by(F.struct("candidates", "first_id"), "n").alias("best"))
+    return questions.join(best, "question").select("s_suppkey", "best.*")
 
 
 @register("j15_any_of_terms", "SELECT doc_id FROM documents WHERE EXISTS (SELECT 1 FROM (SELECT unnest(['shingou', 'handat', 'leué']) AS term) WHERE contains(lower(text), term))")
