@@ -17,7 +17,7 @@ BLOCKS = "SELECT l_orderkey AS page, l_linenumber AS block, CAST(l_quantity AS B
 @register("f12_block_beside_label", f"WITH b AS ({BLOCKS}), c AS (SELECT l.page, o.block, CASE WHEN o.y = l.y AND o.x > l.x THEN 0 WHEN o.y < l.y THEN 1 WHEN o.y > l.y THEN 2 END AS side, abs(o.y - l.y) AS dy, abs(o.x - l.x) AS dx FROM b l JOIN b o ON o.page = l.page AND o.block <> 1 WHERE l.block = 1) SELECT page, arg_min(block, (side, dy, dx, block)) AS block FROM c WHERE side IS NOT NULL GROUP BY page")
 def f12(spark, sf_dir):
     """The block that belongs to a page's label: on its row to the right, else the nearest above, else below."""
-    b = v.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("block"), F.col("l_quantity").cast("long").alias("x"), F.expr("CAST(l_extendedprice AS BIGINT) div 20000").alias("y"))
+    b = v.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("block"), F.rint("l_quantity").cast("long").alias("x"), F.expr("CAST(rint(l_extendedprice) AS BIGINT) div 20000").alias("y"))  # SQL rounds where Spark's cast cuts
     label = b.filter("block = 1").select("page", F.col("x").alias("lx"), F.col("y").alias("ly"))
     c = b.filter("block <> 1").join(label, "page")
     side = F.when((F.col("y") == F.col("ly")) & (F.col("x") > F.col("lx")), 0).when(F.col("y") < F.col("ly"), 1).when(F.col("y") > F.col("ly"), 2)
