@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import APOSTROPHES
+from .text import APOSTROPHES, bound
 
 # Months in the genitive, ranks, number words, and words for what isn't there.
 MONTHS = "січня лютого березня квітня травня червня липня серпня вересня жовтня листопада грудня".split()
@@ -62,11 +62,15 @@ def attested_numbers(text: Column) -> Column:
     """The numbers that a text attests, sorted: in digits, in words, and as a ten with a one behind it."""
     words = F.filter(F.split(F.lower(F.translate(text, APOSTROPHES, "’" * len(APOSTROPHES))), r"[^\p{L}\p{N}’]+"), lambda w: w != "")
     table = F.create_map(*[F.lit(x) for kv in NUMBER_WORDS.items() for x in kv])
-    value = lambda w: F.coalesce(w.try_cast("bigint"), F.try_element_at(table, w).cast("bigint"))
-    values = F.transform(words, value)
-    single = F.filter(values, lambda v: v.isNotNull())
-    pairs = F.filter(F.transform(values, lambda v, i: F.when((v >= 20) & (v < 100) & (v % 10 == 0) & F.get(values, i + 1).between(1, 9), v + F.get(values, i + 1))), lambda v: v.isNotNull())
-    return F.array_sort(F.array_distinct(F.concat(single, pairs)))
+    digits = lambda w: F.when(F.ascii(w).between(48, 57), w.try_cast("bigint"))  # noqa: E731, a cast that fails costs an exception
+    value = lambda w: F.coalesce(digits(w), F.try_element_at(table, w).cast("bigint"))
+
+    def attested(values: Column) -> Column:
+        single = F.filter(values, lambda v: v.isNotNull())
+        pairs = F.filter(F.transform(values, lambda v, i: F.when((v >= 20) & (v < 100) & (v % 10 == 0) & F.get(values, i + 1).between(1, 9), v + F.get(values, i + 1))), lambda v: v.isNotNull())
+        return F.array_sort(F.array_distinct(F.concat(single, pairs)))
+
+    return bound(F.transform(words, lambda w: bound(w, value)), attested)
 
 
 #: Points of a template's title and of each of its anchors, and the least that a template needs.
