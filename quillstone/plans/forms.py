@@ -171,8 +171,10 @@ def f32(spark, sf_dir):
 def f34(spark, sf_dir):
     """Words of questions that a few documents attest, five at most: those that tell documents apart."""
     asked = v.table(spark, sf_dir, "conversations").filter("role = 'user'").select(F.explode(x.lexemes(F.col("text"))).alias("term")).distinct()
-    hits = r.inverted_index(v.table(spark, sf_dir, "documents"), "doc_id").select("term").join(asked, "term", "left_semi").groupBy("term").agg(F.count("*").alias("hits"))
-    return hits.filter("hits <= 5")
+    # counted where the texts are, before they meet: a task holds its distinct terms, not one row for each that a text has
+    own = v.table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(x.lexemes(F.col("text")))).alias("term"))
+    hits = own.groupBy("term").agg(F.count("*").alias("hits")).filter("hits <= 5")
+    return hits.join(asked, "term", "left_semi")
 
 
 PHRASES = ("Дійсний до", "Терміном на", "Звільнений у відпустку")
